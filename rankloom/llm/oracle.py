@@ -32,4 +32,15 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT *, NOT (base_failed OR 100 * dup_line_chars > 20 * word_chars OR 100 * n_symbols > 10 * n_words OR {bad}) AS kept FROM f"""
 
 
-SQL = {"op1_repetition_coverage": _quality()}
+def _warc() -> str:
+    """Roles by equal payloads; what is read back must agree."""
+    return """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f"""
+
+
+SQL = {"op1_repetition_coverage": _quality(), "op6_warc_archives": _warc()}

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.llm import oracle
-from rankloom.llm.common import table
+from rankloom.llm.common import stored, table
+from rankloom.llm.mixing import mix, word_count
 from rankloom.llm.pieces import digests
 from rankloom.llm.png import features, store
 from rankloom.llm.quality import quality
 from rankloom.llm.token_counts import token_counts
+from rankloom.llm.warc import read_archives, roles, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,10 +30,21 @@ def op1_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    sizes = stored(docs.select("doc_id", "source", F.xxhash64("text").alias("text"), word_count(F.col("text")).alias("_size")), "mix-sizes")
+    return mix(sizes, size=F.col("_size")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("byte_bpe_50k.tiktoken")).drop("text")
 
 
+def op6_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_archives(roles(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    return read_archives(manifest).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return features(store(docs).drop("text")).withColumn("feature", F.lower(F.hex("cosine_hash"))).drop("cosine_hash")
