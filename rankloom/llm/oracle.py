@@ -43,4 +43,31 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f"""
 
 
-SQL = {"op1_repetition_coverage": _quality(), "op6_warc_archives": _warc()}
+def _chat() -> str:
+    """Windows of 512 tokens with 96 of history in up to 2 turns; a piece is its escaped role and text and 16 characters of markers."""
+    esc = "replace(replace({}, '&', '&amp;'), '<', '&lt;')"
+    return f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+t AS (SELECT *, len(regexp_extract_all(text, {_WORD})) + 4 AS tokens, 16 + length(replace({esc.format("role")}, '>', '&gt;')) + length({esc.format("text")}) AS size, row_number() OVER o AS pos,
+    first_value(role) OVER o = 'system' AS has_system FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+s AS (SELECT *, has_system AND pos = 1 AS is_system, CASE WHEN has_system THEN first_value(size) OVER o ELSE 0 END AS system_size,
+    greatest((416 - CASE WHEN has_system THEN first_value(tokens) OVER o ELSE 0 END) // 2, 1) AS half FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY pos)),
+b AS (SELECT *, CASE WHEN is_system THEN 0 ELSE tokens END AS own FROM s),
+p AS (SELECT *, (sum(own) OVER (PARTITION BY conv_id ORDER BY pos) - own) // half AS bucket FROM b),
+g AS (SELECT *, NOT is_system AND (pos = CASE WHEN has_system THEN 2 ELSE 1 END OR bucket <> lag(bucket) OVER o OR own > half OR lag(own) OVER o > half) AS begins,
+    lag(own) OVER o AS own1, lag(own, 2) OVER o AS own2, lag(size) OVER o AS size1, lag(size, 2) OVER o AS size2, lag(is_system) OVER o AS sys1, lag(is_system, 2) OVER o AS sys2
+    FROM p WINDOW o AS (PARTITION BY conv_id ORDER BY pos)),
+w AS (SELECT *, greatest(sum(begins::INT) OVER (PARTITION BY conv_id ORDER BY pos) - 1, 0) AS win FROM g),
+x AS (SELECT *, size + CASE WHEN begins AND win > 0 THEN system_size
+    + CASE WHEN NOT coalesce(sys1, true) AND own1 <= 96 THEN size1 ELSE 0 END
+    + CASE WHEN NOT coalesce(sys2, true) AND own1 + own2 <= 96 THEN size2 ELSE 0 END ELSE 0 END AS chars FROM w)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars, (max(win) + 1)::BIGINT AS n_windows
+FROM x GROUP BY conv_id"""
+
+
+SQL = {"op1_repetition_coverage": _quality(), "op4_budgeted_windows": _chat(), "op6_warc_archives": _warc()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import oracle
+from rankloom.llm import chat, oracle
 from rankloom.llm.common import stored, table
 from rankloom.llm.mixing import mix, word_count
 from rankloom.llm.pieces import digests
@@ -36,6 +36,13 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(sizes, size=F.col("_size")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = "\\### Assistant: </turn> ok"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.digests(chat.formatted(turns))
+
+
 def op5_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("byte_bpe_50k.tiktoken")).drop("text")
 
