@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rankloom.llm import chat, oracle
 from rankloom.llm.common import stored, table
 from rankloom.llm.mixing import mix, word_count
+from rankloom.llm.near_dup import Settings, near_duplicates
 from rankloom.llm.pieces import digests
 from rankloom.llm.png import features, store
 from rankloom.llm.quality import quality
@@ -52,6 +53,10 @@ def op6_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(manifest).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), settings=Settings(words=3, percent=85))
+
+
 def op9_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return features(store(docs).drop("text")).withColumn("feature", F.lower(F.hex("cosine_hash"))).drop("cosine_hash")
