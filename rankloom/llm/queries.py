@@ -14,6 +14,7 @@ from rankloom.llm.mixing import mix, word_count
 from rankloom.llm.near_dup import Settings, near_duplicates
 from rankloom.llm.pieces import digests
 from rankloom.llm.png import features, store
+from rankloom.llm.ppm import scores
 from rankloom.llm.quality import quality
 from rankloom.llm.token_counts import token_counts
 from rankloom.llm.warc import read_archives, roles, write_archives
@@ -38,6 +39,10 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(sizes, size=F.col("_size")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_byte_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "\\### Assistant: </turn> ok"
     more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
