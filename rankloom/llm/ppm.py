@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from rankloom.llm import kernels as K
 from rankloom.llm.common import pieces, small_batches, stored, text_column
 
-ORDER = 4
-NODES = 1 << 19
+ORDER = 5
+NODES = 1 << 20
 #: Bits of a symbol: 256 bytes and the boundary, which stands before a text and ends it.
 BITS, EDGE, SYMBOLS = 9, 256, 257
 #: Distinct keys that a task gathers before it hands them on.
