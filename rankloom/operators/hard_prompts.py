@@ -19,7 +19,7 @@ def hard_prompts(df: DataFrame, group: str, teacher: str, student: str, order: s
     """
     rows = prompt_metrics(df, group, teacher, student, order, margin)
     missed = F.when(F.col("top1_match"), 0.0).otherwise(0.5)
-    rows = rows.withColumn("hard_prompt_score", F.when(F.col("pairs") > 0, F.round((1 - F.col("pairwise_accuracy")) + 0.25 * (1 - F.col("prompt_spearman")) + missed, 9)).otherwise(0.0))
+    rows = rows.withColumn("hard_prompt_score", F.when(F.col("pairs") > 0, F.abs(F.round((1 - F.col("pairwise_accuracy")) + 0.25 * (1 - F.col("prompt_spearman")) + missed, 9))).otherwise(0.0))
     hardest = rows.where("pairs > 0").orderBy(F.col("hard_prompt_score").desc(), "group_key").limit(n).select("group_key", "hard_prompt_score")
     ranks = hardest.select("group_key", F.row_number().over(Window.orderBy(F.col("hard_prompt_score").desc(), "group_key")).cast("long").alias("hard_prompt_rank"))
     rows = rows.join(ranks, "group_key", "left").withColumn("selected", F.col("hard_prompt_rank").isNotNull())

@@ -56,7 +56,7 @@ FROM r {limit}"""
 
 _SCORES = f"""
 s AS (SELECT l_orderkey AS g, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS sid, l_extendedprice AS t, floor((l_extendedprice * 0.9 + l_quantity * 50) / 100) * 100.0 AS s FROM lineitem),
-z AS (SELECT *, (s - {MEAN}) / {STD} AS z FROM s)"""
+z AS (SELECT *, (s - {MEAN}) / {STD} AS z, row_number() OVER (PARTITION BY g ORDER BY sid, t, s) AS i FROM s)"""
 
 
 def _rank(x: str, by: str = "") -> str:
@@ -72,14 +72,14 @@ WITH {_SCORES},
 k AS (SELECT *, {_rank('t', 'g')} AS rt, {_rank('s', 'g')} AS rs, row_number() OVER (PARTITION BY g ORDER BY t DESC, sid) AS bt, row_number() OVER (PARTITION BY g ORDER BY s DESC, sid) AS bs FROM z),
 q AS (SELECT g, count(*) AS candidates, min(sid) FILTER (bt = 1) = min(sid) FILTER (bs = 1) AS top1,
   CASE WHEN count(*) > 1 AND stddev_pop(rt) > 0 AND stddev_pop(rs) > 0 THEN covar_pop(rt, rs) / (stddev_pop(rt) * stddev_pop(rs)) ELSE 0.0 END AS spearman FROM k GROUP BY g),
-x AS (SELECT a.g, count(*) AS pairs, sum(CASE WHEN (a.t - b.t) * (a.s - b.s) > 0 THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0.0 END) AS credit FROM z a JOIN z b ON a.g = b.g AND a.sid < b.sid WHERE abs(a.t - b.t) > {margin} GROUP BY a.g),
+x AS (SELECT a.g, count(*) AS pairs, sum(CASE WHEN (a.t - b.t) * (a.s - b.s) > 0 THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0.0 END) AS credit FROM z a JOIN z b ON a.g = b.g AND a.i < b.i WHERE abs(a.t - b.t) > {margin} GROUP BY a.g),
 w AS (SELECT q.g, candidates, CASE WHEN candidates > 1 THEN top1 END AS top1, coalesce(pairs, 0) AS pairs, coalesce(credit, 0.0) AS credit, CASE WHEN pairs > 0 THEN credit / pairs END AS acc, CASE WHEN candidates > 1 THEN spearman END AS spearman FROM q LEFT JOIN x USING (g))"""
 
 
 _HARD = (
     _by_prompt(0.0)
     + """,
-h AS (SELECT *, CASE WHEN pairs > 0 THEN round((1 - acc) + 0.25 * (1 - spearman) + CASE WHEN top1 THEN 0.0 ELSE 0.5 END, 9) ELSE 0.0 END AS score FROM w),
+h AS (SELECT *, CASE WHEN pairs > 0 THEN abs(round((1 - acc) + 0.25 * (1 - spearman) + CASE WHEN top1 THEN 0.0 ELSE 0.5 END, 9)) ELSE 0.0 END AS score FROM w),
 n AS (SELECT *, CASE WHEN pairs > 0 THEN row_number() OVER (PARTITION BY pairs > 0 ORDER BY score DESC, g) END AS r FROM h),
 o AS (SELECT *, CASE WHEN r <= 150 THEN r END AS place, CASE WHEN r <= 150 THEN CASE WHEN NOT top1 THEN 'top1_mismatch' WHEN acc < 1 THEN 'pair_errors' ELSE 'lowest_rank' END END AS reason FROM n)"""
 )
@@ -161,7 +161,7 @@ SELECT round(avg((z - y) * (z - y)), 4) AS mse, round(avg(abs(z - y)), 4) AS mae
   round(avg(acc), 6) AS pairwise_accuracy_macro, count(acc) AS pairwise_accuracy_macro_num_prompts, round(avg(spearman), 6) AS prompt_spearman_mean, round(median(spearman), 6) AS prompt_spearman_median, count(spearman) AS prompt_spearman_num_prompts,
   500.0::DOUBLE AS pairwise_margin FROM w""",
     "group_top1": _by_prompt(0.0) + " SELECT g AS group_key, top1 AS top1_match FROM w WHERE candidates > 1",
-    "group_pairwise_acc": _by_prompt(1000.0) + " SELECT g AS group_key, pairs, round(credit, 6) AS credit, round(acc, 6) AS pairwise_accuracy FROM w WHERE pairs > 0",
+    "group_pairwise_acc": _by_prompt(1000.0) + " SELECT g AS group_key, pairs, round(credit::DOUBLE, 6) AS credit, round(acc::DOUBLE, 6) AS pairwise_accuracy FROM w WHERE pairs > 0",
     "group_spearman": _by_prompt(0.0) + " SELECT g AS group_key, round(spearman, 6) AS prompt_spearman FROM w WHERE candidates > 1",
     "group_sizes": "WITH c AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey) SELECT count(*) AS num_groups, round(avg(n), 6) AS mean, median(n) AS median, max(n) AS max FROM c",
     "rank_average": f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, {_rank('l_quantity')} AS rank, {_rank('l_quantity', 'l_orderkey')} AS rank_in_order FROM lineitem",
