@@ -300,7 +300,7 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int
                 ids = batch.column(0).slice(a, n)
                 none = lambda size, kind: pa.nulls(size, kind)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, batch.column(1).slice(a, n), batch.column(3).slice(a, n), pa.array(w.counts + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score), none(n, pa.int64()), none(n, pa.int64())], names=names
+                    [ids, batch.column(1).slice(a, n), batch.column(3).slice(a, n), pa.array(w.counts + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()), none(n, pa.int64()), none(n, pa.int64())], names=names
                 )
                 # Other words, once a text with their number.
                 rest, text_of = hashes[~found], of[~found]

@@ -36,7 +36,7 @@ MIN_REVISIT = 100
 #: Bytes of records from which the dictionary is built, of the dictionary, and of records in an archive.
 SAMPLE, DICTIONARY, ARCHIVE = 1 << 20, 32 << 10, 256 << 20
 LEVEL = 3
-READ = 1 << 18
+READ = 1 << 16
 #: Groups of equal payloads that are broadcast (about 100 bytes each); above that they are joined by shuffle.
 BROADCAST_GROUPS = 100_000
 
@@ -146,34 +146,27 @@ def _frames(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
         body = raw.read(size)
         trained = body[:4] == struct.pack("<I", DICTIONARY_MAGIC)
         dictionary = zstandard.ZstdCompressionDict(body, dict_type=zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT)
-        with zstandard.ZstdDecompressor(dict_data=dictionary).stream_reader(raw, read_across_frames=True, read_size=READ) as text:
-            held, at = b"", 0  # bytes read, and where the next record begins in them
-            while True:
-                end = held.find(b"\r\n\r\n", at)
-                if end < 0:
-                    more = text.read(READ)
-                    if not more:
-                        if at < len(held):
-                            raise ValueError(f"{path} ends inside a record")
-                        return
-                    held, at = held[at:] + more, 0
-                    continue
-                version, *lines = held[at:end].decode().split(CRLF)
-                if not version.startswith("WARC/"):
-                    raise ValueError(f"{path} holds {version!r} instead of a record")
-                fields = dict(x.split(": ", 1) for x in lines)
-                block, size = end + 4 - at, int(fields["Content-Length"])
-                parts, have = [held[at:]] if len(held) < at + block + size + 4 else [], len(held) - at
-                while have < block + size + 4:
-                    more = text.read(max(READ, block + size + 4 - have))
-                    if not more:
-                        raise ValueError(f"{path} ends inside a record")
-                    parts.append(more)
-                    have += len(more)
-                if parts:
-                    held, at = b"".join(parts), 0
-                yield fields, held[at + block : at + block + size]
-                at += block + size + 4
+        press = zstandard.ZstdDecompressor(dict_data=dictionary)
+        chunk = raw.read(READ)
+        while chunk:
+            frame, parts = press.decompressobj(), []
+            while not frame.eof:
+                if not chunk and not (chunk := raw.read(READ)):
+                    raise ValueError(f"{path} ends inside a record")
+                parts.append(frame.decompress(chunk))
+                chunk = b"" if not frame.eof else frame.unused_data
+            yield _parsed(path, b"".join(parts))
+            chunk = chunk or raw.read(READ)
+
+
+def _parsed(path: str, record: bytes) -> tuple[dict[str, str], bytes]:
+    head, _, rest = record.partition(b"\r\n\r\n")
+    version, *lines = head.decode().split(CRLF)
+    fields = dict(x.split(": ", 1) for x in lines)
+    size = int(fields.get("Content-Length", -1))
+    if not version.startswith("WARC/") or len(rest) != size + 4 or rest[size:] != b"\r\n\r\n":
+        raise ValueError(f"{path} holds a frame that is no record")
+    return fields, rest[:size]
 
 
 def read_archives(manifest: DataFrame, payload: bool = False) -> DataFrame:
@@ -194,7 +187,7 @@ def read_archives(manifest: DataFrame, payload: bool = False) -> DataFrame:
                     raise ValueError(f"{path}: the payload of {fields['WARC-Record-ID']} is damaged")
             else:
                 size, digest = int(re.search(rb"Content-Length: (\d+)", head)[1]), fields["WARC-Payload-Digest"].removeprefix("sha256:")
-            yield (_key_of(fields["WARC-Record-ID"]), kind, _key_of(fields.get("WARC-Refers-To")), fields["WARC-Target-URI"], size, digest, *([body] if payload else []))
+            yield (_key_of(fields["WARC-Record-ID"]), kind, _key_of(fields.get("WARC-Refers-To")), fields["WARC-Target-URI"], size, digest, *([body if kind == "response" else None] if payload else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
