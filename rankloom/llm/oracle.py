@@ -25,7 +25,7 @@ a{n} AS (SELECT doc_id, i, word, g IS NOT NULL AND {again} AS again FROM g{n}),
 c{n} AS (SELECT doc_id, {value}::BIGINT AS n FROM (SELECT doc_id, word, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS inside FROM a{n}) WHERE inside GROUP BY 1)""")
     grams = ", ".join(f"coalesce(c{n}.n, 0) AS dup{n}_chars" for n in _GRAMS)
     joins = " ".join(f"LEFT JOIN c{n} USING (doc_id)" for n in (3, *_GRAMS))
-    bad = " OR ".join(f"100 * dup{n}_chars > {most} * word_chars" for n, most in zip(_GRAMS, (15, 14, 13, 12, 11, 10), strict=True))
+    bad = " OR ".join(f"100 * dup{n}_chars > 20 * word_chars" for n in _GRAMS)
     return ",".join(parts) + f""",
 m AS (SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(c3.n, 0) AS n_repeat_words, coalesce(dup_line_chars, 0) AS dup_line_chars, {grams} FROM base LEFT JOIN lines USING (doc_id) {joins}),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
