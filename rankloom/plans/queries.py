@@ -399,9 +399,5 @@ def hard_prompt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    """Functions and bound queries of this module, in the order of definition."""
-    here = globals()
-    return {name: f for name, f in here.items() if callable(f) and not name.startswith("_") and name not in _IMPORTED and name != "queries"}
-
-
-_IMPORTED = {"Callable", "Column", "DataFrame", "SparkSession", "hard_prompts", "hard_training_rows", "Source", "Query", "F"}
+    """The public functions of this module, in the order of definition."""
+    return {name: f for name, f in globals().items() if not name.startswith("_") and name != "queries" and getattr(f, "__module__", "") == __name__}
