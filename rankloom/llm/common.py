@@ -6,12 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-#: Words are runs of anything but the six ASCII white-space characters.
-WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a batch that goes to Python; a batch holds whole rows, so it is about this many texts large.
 BATCH_ROWS = 500
 
@@ -48,24 +46,13 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_id(key: str = "doc_id", text: str = "text") -> Column:
-    """Identity of a row: its key and text. Rows that agree in both count as one."""
-    return F.xxhash64(F.col(key), F.coalesce(F.col(text), F.lit("")))
-
-
 def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     column = batch.column(batch.schema.get_field_index(name))
     return column.cast(pa.large_string()).fill_null("")
 
 
-def out_batch(schema: pa.Schema, columns: dict[str, object]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
-
-
 def pieces(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of whole rows of about `most` bytes; one longer row makes a range of its own."""
-    import numpy as np
-
     offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
     at = 0
     while at < len(texts):
