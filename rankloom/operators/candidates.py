@@ -7,7 +7,6 @@ Arrow batches and are made once in each worker by the factory that is passed.
 
 from __future__ import annotations
 
-import json
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -137,6 +136,3 @@ def score_records(records: DataFrame, stats: tuple[str, float, float], scorer: C
     out = scored(records, M.record_text(records), "student_score_norm", scorer).withColumn("student_score_norm", F.col("student_score_norm").cast("float").cast("double"))
     return out.withColumn("student_score_denorm", F.col("student_score_norm") * std + mean if mode == "train_zscore" else F.col("student_score_norm"))
 
-
-def settings_json(g: Generation) -> str:
-    return json.dumps({"models": list(g.models), "candidates": g.candidates, "teacher": g.teacher, "seed": g.seed, **g.settings}, sort_keys=True)
