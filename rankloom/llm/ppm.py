@@ -21,6 +21,7 @@ tokens the baseline is 0 for each token and the model is uniform; repeated rows
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -253,8 +254,8 @@ def _arrays(df: DataFrame) -> list[np.ndarray]:
     return [c[order] for c in columns]
 
 
-def fit(counted: DataFrame, order: int = ORDER, nodes: int = NODES) -> Model:
-    """The trie from the counts of all runs; it collects at most `nodes` runs and contexts an order."""
+def kept_counts(counted: DataFrame, order: int = ORDER, nodes: int = NODES) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Levels of a Model from the counts of all runs; it collects at most `nodes` runs and contexts an order."""
     whole = counted.where(F.col("kind") == RUN_KIND).select("key", "n")
     levels, least = [], 1
     for k in range(order + 1):
@@ -264,7 +265,22 @@ def fit(counted: DataFrame, order: int = ORDER, nodes: int = NODES) -> Model:
         contexts = level.groupBy(F.shiftright("key", BITS).alias("key")).agg(F.sum("n").alias("total"), F.max("n").alias("most")).where(F.col("most") >= least).drop("most")
         names, totals = _arrays(contexts)
         levels.append((keys.view(np.uint64), n, names.view(np.uint64), totals))
-    return Model(levels)
+    return levels
+
+
+def fit(counted: DataFrame, order: int = ORDER, nodes: int = NODES) -> Model:
+    return Model(kept_counts(counted, order, nodes))
+
+
+_loaded: dict[str, tuple[Model, Table, np.ndarray]] = {}
+
+
+def _load(name: str, levels: list, words: np.ndarray, logs: np.ndarray) -> tuple[Model, Table, np.ndarray]:
+    """The tables of a broadcast, built once in each worker: they are several times as large as their keys."""
+    if name not in _loaded:
+        _loaded.clear()
+        _loaded[name] = (Model(levels), Table(words), logs)
+    return _loaded[name]
 
 
 def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER, nodes: int = NODES) -> DataFrame:
@@ -278,11 +294,12 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int
     norm = tokens + 0.1 * (kinds + 1)
     least = _threshold(words, nodes)
     common = _arrays(words.where(F.col("n") >= least))
-    held = spark.sparkContext.broadcast((fit(counted, order, nodes), Table(common[0].view(np.uint64)), np.log10((common[1] + 0.1) / norm)))
+    held = spark.sparkContext.broadcast((kept_counts(counted, order, nodes), common[0].view(np.uint64), np.log10((common[1] + 0.1) / norm)))
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, table, logs = held.value
-        names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "word", "times"]
+        model, table, logs = _load(name, *held.value)
+        columns = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "word", "times"]
         for batch in batches:
             texts = text_column(batch, "text")
             for a, b in pieces(texts, K.BLOCK):
@@ -300,7 +317,7 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int
                 ids = batch.column(0).slice(a, n)
                 none = lambda size, kind: pa.nulls(size, kind)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, batch.column(1).slice(a, n), batch.column(3).slice(a, n), pa.array(w.counts + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()), none(n, pa.int64()), none(n, pa.int64())], names=names
+                    [ids, batch.column(1).slice(a, n), batch.column(3).slice(a, n), pa.array(w.counts + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()), none(n, pa.int64()), none(n, pa.int64())], names=columns
                 )
                 # Other words, once a text with their number.
                 rest, text_of = hashes[~found], of[~found]
@@ -311,7 +328,7 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int
                     times, m = np.diff(np.append(cut, len(rest))), len(cut)
                     row = ids.take(pa.array(text_of[cut]))
                     yield pa.RecordBatch.from_arrays(
-                        [row, none(m, batch.column(1).type), none(m, pa.bool_()), none(m, pa.int64()), none(m, pa.int64()), none(m, pa.float64()), none(m, pa.float64()), pa.array(rest[cut].view(np.int64)), pa.array(times, pa.int64())], names=names
+                        [row, none(m, batch.column(1).type), none(m, pa.bool_()), none(m, pa.int64()), none(m, pa.int64()), none(m, pa.float64()), none(m, pa.float64()), pa.array(rest[cut].view(np.int64)), pa.array(times, pa.int64())], names=columns
                     )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
