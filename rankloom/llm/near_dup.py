@@ -45,7 +45,7 @@ class Settings:
 #: Ids of documents to confirm that are broadcast (8 bytes each); above that they are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 #: Shingles of a block of documents that are compared in memory with another block.
-BLOCK_SHINGLES = 500_000
+BLOCK_SHINGLES = 2_000_000
 
 _SIGNATURE = "doc_id long, n_shingles long, set_key long, halves array<long>"
 
@@ -175,16 +175,18 @@ def _across(docs: DataFrame, keys: DataFrame, pivots: DataFrame, found: DataFram
     groups = groups.select("pivot", (-F.col("most.low")).alias("main"), F.ceil(F.col("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     sets = _sets(docs, members.select(F.col("id").alias("doc_id")), key, text, s)
     rows = members.join(groups, "pivot").join(sets, "set_key").withColumn("block", F.pmod(F.hash("set_key"), F.col("blocks")))
+    # Block q asks block t; a member is told to every block, and asks in every other one. In its own it does both.
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    asked = F.when(F.col("component") != F.col("main"), F.transform(every, lambda t: F.struct(F.col("block").alias("q"), t.alias("t"), F.lit(True).alias("asks")))).otherwise(F.expr("cast(array() AS array<struct<q: int, t: int, asks: boolean>>)"))
-    told = F.transform(every, lambda q: F.struct(q.alias("q"), F.col("block").alias("t"), F.lit(False).alias("asks")))
-    dealt = rows.withColumn("place", F.explode(F.concat(asked, told))).select("pivot", "place.q", "place.t", "place.asks", "id", "component", "grams")
+    outside = F.col("component") != F.col("main")
+    told = F.transform(every, lambda q: F.struct(q.alias("q"), F.col("block").alias("t"), (outside & (q == F.col("block"))).alias("asks"), F.lit(True).alias("told")))
+    asked = F.transform(F.filter(every, lambda t: outside & (t != F.col("block"))), lambda t: F.struct(F.col("block").alias("q"), t.alias("t"), F.lit(True).alias("asks"), F.lit(False).alias("told")))
+    dealt = rows.withColumn("place", F.explode(F.concat(told, asked))).select("pivot", "place.*", "id", "component", "grams")
 
     def compare(group: pa.Table) -> pa.Table:
-        asks = group.column("asks").to_numpy()
+        asks, told = group.column("asks").to_numpy(), group.column("told").to_numpy()
         ids, parts = group.column("id").to_numpy(), group.column("component").to_numpy()
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("grams").combine_chunks()] if len(group) else []
-        queries, targets = np.flatnonzero(asks), np.flatnonzero(~asks)
+        queries, targets = np.flatnonzero(asks), np.flatnonzero(told)
         links: list[tuple[int, int]] = []
         if len(queries) and len(targets):
             lengths = np.array([len(x) for x in sets])
