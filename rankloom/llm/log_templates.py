@@ -138,17 +138,21 @@ def _templates(docs: DataFrame, lines: DataFrame, text: str, tree: Tree) -> Data
     several = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     chosen = stored(distinct.join(several, "leaf").select("leaf", "seq", "docs", "n", F.col("at.text_id").alias("text_id"), F.col("at.line").alias("line")), "line-chosen")
     total = chosen.count()
-    wanted = _few(stored(chosen.select("text_id").distinct(), "line-texts"))
-    read = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).join(wanted, "text_id", "left_semi")
+    wanted = _few(stored(chosen.groupBy("text_id").agg(F.array_sort(F.collect_list("line")).alias("wanted")), "line-texts"))
+    read = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).join(wanted, "text_id").select("text_id", "text", "wanted")
     small_batches(docs.sparkSession)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = text_column(batch, "text"), batch.column(0)
+            texts, ids, lines = text_column(batch, "text"), batch.column(0), batch.column(2)
             for a, b in pieces(texts, K.BLOCK):
                 w = K.words(texts.slice(a, b - a))
                 of, number, first, last = _lines(w)
-                keep = np.flatnonzero(last - first >= tree.min_words)
+                # Places of the wanted lines, as one number for text and line.
+                some = lines.slice(a, b - a)
+                asked = some.value_lengths().to_numpy(zero_copy_only=False)
+                places = (np.repeat(np.arange(b - a), asked) << 32) | some.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                keep = np.flatnonzero(np.isin((of.astype(np.int64) << 32) | number, places))
                 hashes = _tokens(w)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a).take(pa.array(of[keep])), pa.array(number[keep], pa.int32()), pa.array([hashes[first[i] : last[i]].tobytes() for i in keep], pa.binary())], names=["text_id", "line", "tokens"]
