@@ -29,12 +29,12 @@ MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 #: Distinct chunks in each of the two halves of a worker's table. When the newer half is full it
 #: becomes the older one, so chunks that come again stay and memory is bounded.
-TABLE = 200_000
+TABLE = 100_000
 #: Characters of a chunk that is kept; longer ones are segmented each time.
 KEPT = 100
 
 #: Rows of an Arrow batch and bytes of text segmented together: the more, the more chunks recur.
-ROWS, BLOCK = 2000, 6 << 20
+ROWS, BLOCK = 1000, 3 << 20
 #: Ids of a chunk, and the same in decimal.
 Segmented = tuple[list[int], str]
 
