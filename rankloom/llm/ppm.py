@@ -1,19 +1,18 @@
 """Language-model scores by prediction by partial matching over bytes, with a unigram baseline.
 
 Counts of every run of ORDER + 1 symbols of the training texts (bytes and a boundary) and of every
-word are added up over all executors; shorter contexts are sums of longer ones. The byte-context
-trie keeps, for each order, the runs of at least a threshold count: the smallest power of two that
-keeps at most NODES of them, so its size is bounded whatever the corpus. A longer context is only
-kept where its suffix is.
+word are added up over all executors; shorter contexts are sums of longer ones. All counted runs
+are in the model: it is tables in the shared folder, which grow with the corpus.
 
-A symbol is coded in its longest kept context. With D kept symbols and total T there, of which X
-belong to runs not kept, a kept symbol of count n has n / (T + D) and an escape (X + D) / (T + D);
-after an escape the next shorter context leaves the symbols of the longer one out of all of n, T
-and D (symbol exclusion). Below order 0 the symbols left are equally likely. The exclusions of a
-context on its suffix don't depend on the text, so they are worked out once for each context.
+A symbol is coded in its longest counted context. With D symbols and total T there, a symbol of
+count n has n / (T + D) and an escape D / (T + D); after an escape the next shorter context leaves
+the symbols of the longer one out of all of n, T and D (symbol exclusion). Below order 0 the symbols
+left are equally likely.
 
-Words are known by 64-bit hashes. The most frequent, at most NODES again, are scored where the text
-is read; the other words of a document are joined with the table of all counts.
+Words are known by 64-bit hashes. The most frequent words and the most frequent runs, at most NODES
+each, are scored where the text is read; the other words and runs of a document are joined with the
+table of all counts, and runs that were not counted go down the orders by joins on their contexts.
+NODES and SHARE move work between the two ways and change no score.
 
 Defined results: a null or empty text is one end token; a null id is held out; without training
 tokens the baseline is 0 for each token and the model is uniform; repeated rows are scored each.
@@ -28,14 +27,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.llm import kernels as K
 from rankloom.llm.common import pieces, small_batches, stored, text_column
 
 ORDER = 5
+#: Words, and runs, that are scored where the text is read; all others are joined.
 NODES = 1 << 20
+#: Runs rarer than one in SHARE are joined in any case, so that their part doesn't jump where the NODES are used up.
+SHARE = 1 << 25
 #: Bits of a symbol: 256 bytes and the boundary, which stands before a text and ends it.
 BITS, EDGE, SYMBOLS = 9, 256, 257
 #: Distinct keys that a task gathers before it hands them on.
@@ -174,7 +176,8 @@ class Level:
 
 
 class Model:
-    """levels[k]: sorted run keys of k + 1 symbols with counts, and sorted context keys with totals, runs not kept included."""
+    """A model in one process, which `scores` doesn't use: of D kept symbols and total T in a context, of which X belong to runs
+    not kept, an escape has (X + D) / (T + D). levels[k]: sorted run keys of k + 1 symbols with counts, and sorted context keys with totals, runs not kept included."""
 
     def __init__(self, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> None:
         self.levels: list[Level] = []
@@ -272,17 +275,53 @@ def fit(counted: DataFrame, order: int = ORDER, nodes: int = NODES) -> Model:
     return Model(kept_counts(counted, order, nodes))
 
 
-_loaded: dict[str, tuple[Model, Table, np.ndarray]] = {}
+_loaded: dict[str, tuple[Table, np.ndarray, Table, np.ndarray]] = {}
 
 
-def _load(name: str, levels: list, words: np.ndarray, logs: np.ndarray) -> tuple[Model, Table, np.ndarray]:
+def _load(name: str, words: np.ndarray, word_logs: np.ndarray, common: np.ndarray, run_logs: np.ndarray) -> tuple[Table, np.ndarray, Table, np.ndarray]:
     """The tables of a broadcast, built once in each worker: they are several times as large as their keys."""
     if name not in _loaded:
         _loaded.clear()
-        _loaded[name] = (Model(levels), Table(words), logs)
+        _loaded[name] = (Table(words), word_logs, Table(common), run_logs)
     return _loaded[name]
 
 
+def _suffix(key: Column | str, symbols: int) -> Column:
+    return (F.col(key) if isinstance(key, str) else key).bitwiseAND(F.lit((1 << BITS * symbols) - 1))
+
+
+def _uncounted(whole: DataFrame, keys: DataFrame, order: int) -> DataFrame:
+    """(key, log): natural log probability of the last symbol of runs (key) that are not among the counted ones (key, n)."""
+    levels = [whole]
+    for k in range(order - 1, -1, -1):
+        levels.insert(0, stored(levels[0].groupBy(_suffix("key", k + 1).alias("key")).agg(F.sum("n").alias("n")), "ppm-level"))
+    # Tables of at most 2^18 rows whatever the corpus.
+    small = lambda df, symbols: F.broadcast(df) if symbols <= 2 else df
+    # gone, gone_kinds: what the longer context excludes, 0 where that was not counted.
+    left, out = keys.select("key", F.lit(0.0).alias("log"), F.lit(0).cast("long").alias("gone"), F.lit(0).cast("long").alias("gone_kinds")), []
+    for k in range(order, -1, -1):
+        asked = left.withColumn("context", F.shiftright(_suffix("key", k + 1), BITS))
+        runs = levels[k].withColumn("context", F.shiftright("key", BITS)).join(asked.select("context").distinct(), "context", "left_semi")
+        below = F.lit(0).cast("long")
+        if k:
+            runs = runs.withColumn("shorter", _suffix("key", k)).join(small(levels[k - 1].toDF("shorter", "below"), k), "shorter")
+            below = F.sum("below")
+        contexts = runs.groupBy("context").agg((F.sum("n") + F.count(F.lit(1))).alias("whole"), F.count(F.lit(1)).alias("kinds"), below.alias("below"))
+        joined = asked.withColumn("own", _suffix("key", k + 1)).join(small(contexts, k), "context", "left")
+        joined = joined.join(small(levels[k].toDF("own", "n"), k + 1), "own", "left")
+        total, rest = F.col("whole") - F.col("gone") - F.col("gone_kinds"), F.col("kinds") - F.col("gone_kinds")
+        step = F.when(F.col("n").isNotNull(), F.log(F.col("n") / total)).when(total > 0, F.log(rest / total)).otherwise(0.0)
+        known = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+        done = stored(joined.select("key", (F.col("log") + step).alias("log"), known("below").alias("gone"), known("kinds").alias("gone_kinds"), F.col("n").isNotNull().alias("found")), "ppm-order")
+        out.append(done.where("found").select("key", "log"))
+        left = done.where("NOT found").drop("found")
+    # Below order 0: the symbols that the corpus doesn't have.
+    logs = left.select("key", F.col("log") - F.lit(float(np.log(max(SYMBOLS - levels[0].count(), 1)))))
+    for df in out:
+        logs = logs.union(df)
+    return logs.toDF("key", "log")
+
+
 def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER, nodes: int = NODES) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) of each text, learnt from those not held out."""
     spark = docs.sparkSession
@@ -294,12 +333,37 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int
     norm = tokens + 0.1 * (kinds + 1)
     least = _threshold(words, nodes)
     common = _arrays(words.where(F.col("n") >= least))
-    held = spark.sparkContext.broadcast((kept_counts(counted, order, nodes), common[0].view(np.uint64), np.log10((common[1] + 0.1) / norm)))
+    # A context has SYMBOLS runs at most. What training texts hold is always found here, in the longest context.
+    whole = counted.where(F.col("kind") == RUN_KIND).select("key", "n")
+    context = Window.partitionBy(F.shiftright("key", BITS))
+    placed = stored(whole.select("key", "n", F.log(F.col("n") / (F.sum("n").over(context) + F.count(F.lit(1)).over(context))).alias("log")), "ppm-runs")
+    symbols = int(whole.agg(F.sum("n")).first()[0] or 0)
+    least_run = max(_threshold(whole, nodes), -(-symbols // SHARE))
+    often = _arrays(placed.where(F.col("n") >= least_run).select("key", "log"))
+    held = spark.sparkContext.broadcast((common[0].view(np.uint64), np.log10((common[1] + 0.1) / norm), often[0].view(np.uint64), often[1]))
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, table, logs = _load(name, *held.value)
-        columns = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "word", "times"]
+        table, logs, run_table, run_logs = _load(name, *held.value)
+        columns = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "kind", "key", "times"]
+        none = lambda size, kind: pa.nulls(size, kind)
+
+        def others(kind: int, rest: np.ndarray, text_of: np.ndarray, ids: pa.Array, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+            """Keys to be joined, once a text with their number."""
+            if not len(rest):
+                return
+            sort = np.lexsort((rest, text_of))
+            rest, text_of = rest[sort], text_of[sort]
+            cut = np.flatnonzero(np.concatenate([[True], (rest[1:] != rest[:-1]) | (text_of[1:] != text_of[:-1])]))
+            times = np.diff(np.append(cut, len(rest)))
+            for a in range(0, len(cut), 100_000):
+                c = cut[a : a + 100_000]
+                m = len(c)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(text_of[c])), none(m, id_type), none(m, pa.bool_()), none(m, pa.int64()), none(m, pa.int64()), none(m, pa.float64()), none(m, pa.float64()), pa.array(np.full(m, kind, np.int32)), pa.array(rest[c].view(np.int64)), pa.array(times[a : a + 100_000], pa.int64())],
+                    names=columns,
+                )
+
         for batch in batches:
             texts = text_column(batch, "text")
             for a, b in pieces(texts, K.BLOCK):
@@ -313,34 +377,33 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int
                 known = np.bincount(of[found], minlength=n)
                 base = np.bincount(of[found], logs[at[found]], n)
                 keys, first = runs(part, order)
-                score = np.add.reduceat(model.score(keys), first[:-1]) / np.log(10)
+                run_of = np.repeat(np.arange(n), np.diff(first))
+                run_at = run_table.find(keys)
+                seen = run_at >= 0
+                score = np.bincount(run_of[seen], run_logs[run_at[seen]], n)
                 ids = batch.column(0).slice(a, n)
-                none = lambda size, kind: pa.nulls(size, kind)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, batch.column(1).slice(a, n), batch.column(3).slice(a, n), pa.array(w.counts + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()), none(n, pa.int64()), none(n, pa.int64())], names=columns
+                    [ids, batch.column(1).slice(a, n), batch.column(3).slice(a, n), pa.array(w.counts + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()), none(n, pa.int32()), none(n, pa.int64()), none(n, pa.int64())], names=columns
                 )
-                # Other words, once a text with their number.
-                rest, text_of = hashes[~found], of[~found]
-                if len(rest):
-                    sort = np.lexsort((rest, text_of))
-                    rest, text_of = rest[sort], text_of[sort]
-                    cut = np.flatnonzero(np.concatenate([[True], (rest[1:] != rest[:-1]) | (text_of[1:] != text_of[:-1])]))
-                    times, m = np.diff(np.append(cut, len(rest))), len(cut)
-                    row = ids.take(pa.array(text_of[cut]))
-                    yield pa.RecordBatch.from_arrays(
-                        [row, none(m, batch.column(1).type), none(m, pa.bool_()), none(m, pa.int64()), none(m, pa.int64()), none(m, pa.float64()), none(m, pa.float64()), pa.array(rest[cut].view(np.int64)), pa.array(times, pa.int64())], names=columns
-                    )
+                yield from others(WORD_KIND, hashes[~found], of[~found], ids, batch.column(1).type)
+                yield from others(RUN_KIND, keys[~seen], run_of[~seen], ids, batch.column(1).type)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, word long, times long"
+    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, kind int, key long, times long"
     small_batches(spark)
     read = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out")
     passed = stored(read.mapInArrow(run, schema), "ppm-scores")
-    seldom = passed.where("word IS NOT NULL").select("row", "word", "times").join(words.where(F.col("n") < least), "word", "left")
+    seldom = passed.where(F.col("kind") == WORD_KIND).select("row", F.col("key").alias("word"), "times").join(words.where(F.col("n") < least), "word", "left")
     log = F.log10((F.coalesce("n", F.lit(0)) + F.lit(0.1)) / F.lit(norm))
-    more = seldom.groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * log).alias("more_base"))
-    out = passed.where("word IS NULL").join(more, "row", "left")
+    of_words = seldom.select("row", F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("known"), (F.col("times") * log).alias("base"), F.lit(0.0).alias("score"))
+    # Runs below the threshold have their logs already; the others were not counted.
+    rest = passed.where(F.col("kind") == RUN_KIND).select("row", "key", "times")
+    asked = stored(rest.select("key").distinct().join(placed.where(F.col("n") < least_run).select("key", "log"), "key", "left"), "ppm-asked")
+    run_logs = asked.where("log IS NOT NULL").union(_uncounted(whole, asked.where("log IS NULL").select("key"), order))
+    of_runs = rest.join(run_logs, "key").select("row", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), (F.col("times") * F.col("log") / F.lit(float(np.log(10)))).alias("score"))
+    more = of_words.union(of_runs).groupBy("row").agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("score").alias("more_score"))
+    out = passed.where("kind IS NULL").join(more, "row", "left")
     return out.select(
         F.col("doc_id").alias(key), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), "score",
+        (F.col("base_score") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), (F.col("score") / F.lit(float(np.log(10))) + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )

@@ -106,6 +106,21 @@ def test_seldom_words_are_joined(spark):
         assert few[r.doc_id].base_score == pytest.approx(r.base_score) and few[r.doc_id].n_known == r.n_known
 
 
+def test_seldom_runs_are_joined(spark):
+    rows = [(i, x) for i, x in enumerate([*TRAIN, *TEST, "A a A", "rare words here", "cat hat ab\x01"] * 2)]
+    train = [x for i, x in rows if zlib.crc32(str(i).encode()) % 10]
+    model = Brute(train, ppm.ORDER)
+    got = {r.doc_id: r.score for r in ppm.scores(spark.createDataFrame(rows, "doc_id long, text string"), nodes=4).collect()}
+    assert got == pytest.approx({i: model.text(x) / math.log(10) for i, x in rows})
+
+
+def test_rare_runs_are_joined(spark, monkeypatch):
+    rows = [(i, x) for i, x in enumerate([*TRAIN, *TEST] * 2)]
+    whole = {r.doc_id: r.score for r in ppm.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    monkeypatch.setattr(ppm, "SHARE", 50)
+    assert {r.doc_id: r.score for r in ppm.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == pytest.approx(whole)
+
+
 def test_nothing_to_learn(spark):
     assert ppm.scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     row = ppm.scores(spark.createDataFrame([(None, "a")], "doc_id long, text string")).first()
