@@ -8,8 +8,8 @@ most of whose words stand in recurring templates is itself a copy rather than a
 boilerplate: it stays whole, for near-deduplication to decide.
 
 Only hashes of lines leave a scan; the tokens are read again for one line of each distinct sequence
-in leaves that hold several. Leaves with many sequences are grown in parts whose templates are then
-merged, so no leaf has to fit in one task.
+in leaves that hold several. A leaf is always grown in one pass, whatever its size: an index of parts
+of the templates finds those that can agree enough. The sequences of a leaf are in one task's memory.
 
 Defined results: a null text stays null, an empty one empty; lines of fewer than `min_words` tokens
 are never dropped; repeated rows and equal texts are treated alike; an empty table stays empty.
@@ -43,7 +43,7 @@ class Tree:
 
 #: Documents or drop lists that are broadcast (tens of bytes each); above that they are joined by shuffle.
 BROADCAST_ROWS = 500_000
-#: Sequences of a part of a leaf, and of a task's worth of parts.
+#: Sequences of a task's worth of leaves.
 PART = 4_000
 
 _DIGIT = np.zeros(256, np.int64)
@@ -89,54 +89,72 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def _grow(sequences: list[np.ndarray], agree: int) -> tuple[list[int], list[np.ndarray]]:
-    """Template of each sequence, and the templates: each sequence joins the one it agrees with most, if enough."""
-    width = len(sequences[0])
+    """Template of each sequence, and the templates: each sequence joins the one it agrees with most, if enough.
+
+    With at most m disagreements, one of m + 1 blocks of positions agrees in full, so templates are
+    looked up by blocks; positions that are the same in all sequences are left out of them.
+    """
+    rows = np.stack(sequences)
+    width = rows.shape[1]
+    free = np.flatnonzero((rows != rows[0]).any(axis=0))
+    most = width - -(-agree * width // 100)
+    blocks = np.array_split(free, most + 1) if len(free) > most else []
+    index: list[dict[bytes, list[int]]] = [{} for _ in blocks]
     templates = np.empty((0, width), np.uint64)
     n, of = 0, []
-    for tokens in sequences:
+    for tokens in rows:
+        names = [tokens[block].tobytes() for block in blocks]
         if n:
-            same = np.count_nonzero((templates[:n] == tokens) & (tokens != _ANY), axis=1) + np.count_nonzero((templates[:n] == _ANY) & (tokens == _ANY), axis=1)
-            best = int(same.argmax())
-            if 100 * int(same[best]) >= agree * width:
-                templates[best] = np.where(templates[best] == tokens, tokens, _ANY)
-                of.append(best)
-                continue
+            near = [x for i, name in zip(index, names, strict=True) if (x := i.get(name))]
+            # Old entries of a template that has changed stay: the comparison decides.
+            some = np.arange(n) if not blocks or sum(map(len, near)) >= n else np.unique(np.concatenate([np.zeros(0, np.int64), *near]).astype(np.int64))
+            if len(some):
+                same = np.count_nonzero(templates[some] == tokens, axis=1)
+                at = int(same.argmax())
+                if 100 * int(same[at]) >= agree * width:
+                    best = int(some[at])
+                    before = templates[best].copy()
+                    templates[best] = np.where(before == tokens, tokens, _ANY)
+                    for i, block in zip(index, blocks, strict=True):
+                        if (before[block] != templates[best][block]).any():
+                            i.setdefault(templates[best][block].tobytes(), []).append(best)
+                    of.append(best)
+                    continue
         if n == len(templates):
             templates = np.concatenate([templates, np.empty((max(8, n), width), np.uint64)])
         templates[n] = tokens
+        for i, name in zip(index, names, strict=True):
+            i.setdefault(name, []).append(n)
         of.append(n)
         n += 1
     return of, list(templates[:n])
 
 
 def _grown(rows: DataFrame, groups: str, tree: Tree) -> DataFrame:
-    """rows (leaf, part, docs, seq, tokens) with template, unique in its leaf and part, and its tokens on one row of each."""
+    """rows (leaf, docs, seq, tokens), whole leaves in each group, with template, unique in its leaf."""
     small_batches(rows.sparkSession)
 
     def grow(task: pa.Table) -> pa.Table:
-        task = task.sort_by([("leaf", "ascending"), ("part", "ascending"), ("docs", "descending"), ("seq", "ascending")])
-        leaf, part, seq = (task.column(c).to_numpy() for c in ("leaf", "part", "seq"))
+        task = task.sort_by([("leaf", "ascending"), ("docs", "descending"), ("seq", "ascending")])
+        leaf, seq = (task.column(c).to_numpy() for c in ("leaf", "seq"))
         tokens = [np.frombuffer(x.as_buffer(), np.uint64) for c in task.column("tokens").chunks for x in c]
-        cuts = np.flatnonzero((np.diff(leaf) != 0) | (np.diff(part) != 0)) + 1
-        made, shown = np.zeros(len(seq), np.int64), [None] * len(seq)
+        cuts = np.flatnonzero(np.diff(leaf) != 0) + 1
+        made = np.zeros(len(seq), np.int64)
         for a, b in zip([0, *cuts], [*cuts, len(seq)], strict=True):
             if b > a:
-                of, templates = _grow(tokens[a:b], tree.agree)
-                names = {}
-                for i, t in enumerate(of):
-                    if t not in names:
-                        names[t], shown[a + i] = seq[a + i], templates[t].tobytes()
-                    made[a + i] = names[t]
-        return pa.table({"leaf": leaf, "part": part, "seq": seq, "template": made, "tokens": pa.array(shown, pa.binary())})
+                of = np.array(_grow(tokens[a:b], tree.agree)[0])
+                # A template is named by its first sequence.
+                made[a:b] = seq[a:b][np.unique(of, return_index=True)[1]][of]
+        return pa.table({"leaf": leaf, "seq": seq, "template": made})
 
-    return rows.groupBy(groups).applyInArrow(grow, "leaf long, part int, seq long, template long, tokens binary")
+    return rows.groupBy(groups).applyInArrow(grow, "leaf long, seq long, template long")
 
 
 def _templates(docs: DataFrame, lines: DataFrame, text: str, tree: Tree) -> DataFrame:
     """(leaf, seq, template) of the distinct sequences in leaves with several; elsewhere the sequence is the template."""
     distinct = stored(lines.groupBy("leaf", "seq").agg(F.min(F.struct("text_id", "line")).alias("at"), F.count(F.lit(1)).alias("docs")), "line-sequences")
     several = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    chosen = stored(distinct.join(several, "leaf").select("leaf", "seq", "docs", "n", F.col("at.text_id").alias("text_id"), F.col("at.line").alias("line")), "line-chosen")
+    chosen = stored(distinct.join(several.select("leaf"), "leaf").select("leaf", "seq", "docs", F.col("at.text_id").alias("text_id"), F.col("at.line").alias("line")), "line-chosen")
     total = chosen.count()
     wanted = _few(stored(chosen.groupBy("text_id").agg(F.array_sort(F.collect_list("line")).alias("wanted")), "line-texts"))
     read = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).join(wanted, "text_id").select("text_id", "text", "wanted")
@@ -159,14 +177,8 @@ def _templates(docs: DataFrame, lines: DataFrame, text: str, tree: Tree) -> Data
                 )
 
     found = chosen.join(read.mapInArrow(tokens, "text_id long, line int, tokens binary"), ["text_id", "line"]).dropDuplicates(["leaf", "seq"])
-    parts = F.ceil(F.col("n") / PART).cast("int")
-    rows = found.withColumn("part", F.pmod(F.xxhash64("seq"), parts).cast("int")).withColumn("task", F.pmod(F.xxhash64("leaf", "part"), F.lit(max(1, total // PART))))
-    first = stored(_grown(rows.select("task", "leaf", "part", "docs", "seq", "tokens"), "task", tree), "line-templates")
-    # Templates of the parts of a large leaf are merged as sequences of their own.
-    large = several.where(F.col("n") > PART).select("leaf")
-    heads = first.where("tokens IS NOT NULL").join(large, "leaf", "left_semi").select("leaf", F.lit(0).alias("part"), F.lit(0).cast("long").alias("docs"), F.col("template").alias("seq"), "tokens", F.xxhash64("leaf").alias("task"))
-    merged = _grown(heads, "task", tree).select("leaf", F.col("seq").alias("template"), F.col("template").alias("whole"))
-    return first.select("leaf", "seq", "template").join(merged, ["leaf", "template"], "left").select("leaf", "seq", F.coalesce("whole", "template").alias("template"))
+    rows = found.withColumn("task", F.pmod(F.xxhash64("leaf"), F.lit(max(1, total // PART))))
+    return _grown(rows.select("task", "leaf", "docs", "seq", "tokens"), "task", tree)
 
 
 def recurring(docs: DataFrame, text: str = "text", tree: Tree | None = None) -> DataFrame:

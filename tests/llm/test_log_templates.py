@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+import numpy as np
+
 from rankloom.llm import log_templates as L
 from rankloom.llm import queries
 
@@ -76,6 +78,39 @@ def test_grow():
     assert of == [0, 0, 1, 0, 2] and templates[0].tolist() == [1, 2, 3, 0]
 
 
+def one_pass(rows, agree):
+    templates, of = [], []
+    for tokens in rows:
+        same = [int((t == tokens).sum()) for t in templates]
+        best = max(range(len(same)), key=lambda i: (same[i], -i), default=None)
+        if best is not None and 100 * same[best] >= agree * len(tokens):
+            templates[best] = np.where(templates[best] == tokens, tokens, L._ANY)
+        else:
+            best = len(templates)
+            templates.append(tokens.copy())
+        of.append(best)
+    return of, [t.tolist() for t in templates]
+
+
+def test_grow_equals_comparing_all():
+    rng = np.random.default_rng(5)
+    for width, values, agree in [(8, 3, 70), (12, 6, 70), (12, 3, 70), (30, 2, 70), (9, 4, 100), (9, 4, 0)]:
+        rows = rng.integers(0, values, (700, width)).astype(np.uint64)
+        rows[:, :3] = 7
+        of, templates = L._grow(list(rows), agree)
+        assert (of, [t.tolist() for t in templates]) == one_pass(rows, agree)
+
+
+def test_size_of_a_task_changes_no_line(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    own = lambda i: "\n".join(" ".join(f"{i}own{k}word{j}" for j in range(6)) for k in range(6))
+    texts = [f"{own(i)}\nthe same head {' '.join('abcd'[k] for k in rng.integers(0, 4, 9))}" for i in range(400)]
+    whole = {i: r.n_dropped for i, r in run(spark, texts).items()}
+    assert len(set(whole.values())) == 2
+    monkeypatch.setattr(L, "PART", 20)
+    assert {i: r.n_dropped for i, r in run(spark, texts).items()} == whole
+
+
 def test_long_empty_and_repeated(spark):
     long = " ".join(f"t{i}" for i in range(300_000))
     got = run(spark, [long, long, body(1), body(1)])
