@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.llm.common import stored, table
-from rankloom.llm.log_templates import without_templates
+from rankloom.llm.log_templates import Tree, without_templates
 from rankloom.llm.mixing import mixed
 from rankloom.llm.near_dup import near_duplicates
 from rankloom.llm.pieces import encode
@@ -28,7 +28,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines of templates that recur across them."""
-    return without_templates(docs).select(*COLUMNS)
+    return without_templates(docs, tree=Tree(whole=100)).select(*COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

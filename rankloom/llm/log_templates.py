@@ -2,10 +2,13 @@
 
 A line's path in the tree is its number of tokens and its first `depth` tokens, where a token with
 a digit counts as a variable field. Lines of one leaf that agree in enough tokens fall into one
-template, whose other positions become variable. A template that recurs in `min_docs` documents or
-more is dropped from all of them. Exact copies of a text count as one document, and a document
-most of whose words stand in recurring templates is itself a copy rather than a carrier of
-boilerplate: it stays whole, for near-deduplication to decide.
+template, whose other positions become variable. A template that recurs in `min_docs` carriers or more is dropped from
+all documents. Texts that near-deduplication puts in one group (`near_dup`, with its settings) are
+one carrier, and so are exact copies: what only copies share stays, for near-deduplication to decide.
+
+`Tree.whole` below 100 also spares texts with more than that share of words in recurring templates.
+The queries set it to 100: a document loses its boilerplate however much of it that is, and may
+become empty.
 
 Only hashes of lines leave a scan; the tokens are read again for one line of each distinct sequence
 in leaves that hold several. A leaf is always grown in one pass, whatever its size: an index of parts
@@ -27,12 +30,13 @@ from pyspark.sql import functions as F
 
 from rankloom.llm import kernels as K
 from rankloom.llm.common import pieces, small_batches, stored, text_column
+from rankloom.llm.near_dup import near_duplicates
 
 
 @dataclass(frozen=True)
 class Tree:
-    """Leading tokens of a path, least tokens of a line, least documents of a dropped template, and percentages:
-    of agreeing tokens in a template, and of a document's words above which it stays whole."""
+    """Leading tokens of a path, least tokens of a line, least carriers of a dropped template, and percentages:
+    of agreeing tokens in a template, and of a document's words above which it stays whole (100: never)."""
 
     depth: int = 3
     min_words: int = 8
@@ -203,7 +207,14 @@ def recurring(docs: DataFrame, text: str = "text", tree: Tree | None = None) ->
     placed = lines.join(templates, ["leaf", "seq"], "left").withColumn("template", F.coalesce("template", "seq"))
     placed = stored(placed.select("text_id", "line", "words", "doc_words", F.xxhash64("leaf", "template").alias("template")), "line-placed")
     often = placed.select("template", "text_id").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= tree.min_docs).select("template")
-    drops = placed.join(often, "template", "left_semi").groupBy("text_id").agg(F.array_sort(F.collect_list("line")).alias("drop"), F.sum("words").alias("lost"), F.first("doc_words").alias("all"))
+    hits = stored(placed.join(often, "template", "left_semi"), "line-hits")
+    # Only texts with such lines can make several carriers one.
+    ids = _few(stored(hits.select("text_id").distinct(), "line-hit-texts"))
+    some = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).join(ids, "text_id", "left_semi")
+    groups = near_duplicates(some, "text_id").where("NOT kept").select(F.col("doc_id").alias("text_id"), F.col("component_id").alias("carrier")).distinct()
+    carried = hits.select("template", "text_id").distinct().join(_few(stored(groups, "line-carriers")), "text_id", "left").withColumn("carrier", F.coalesce("carrier", "text_id"))
+    often = carried.select("template", "carrier").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= tree.min_docs).select("template")
+    drops = hits.join(often, "template", "left_semi").groupBy("text_id").agg(F.array_sort(F.collect_list("line")).alias("drop"), F.sum("words").alias("lost"), F.first("doc_words").alias("all"))
     return drops.where(F.col("lost") * 100 <= F.col("all") * tree.whole).select("text_id", "drop")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rankloom.llm import chat, oracle
 from rankloom.llm.common import stored, table
-from rankloom.llm.log_templates import without_templates
+from rankloom.llm.log_templates import Tree, without_templates
 from rankloom.llm.mixing import mix, word_count
 from rankloom.llm.near_dup import Settings, near_duplicates
 from rankloom.llm.pieces import digests
@@ -64,7 +64,7 @@ def op7_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_log_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = without_templates(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    docs = without_templates(table(spark, sf_dir, "documents").select("doc_id", "text"), tree=Tree(whole=100), counts=True)
     return docs.select("doc_id", "n_lines", "n_dropped", F.length("text").alias("kept_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 

@@ -101,9 +101,37 @@ def test_grow_equals_comparing_all():
         assert (of, [t.tolist() for t in templates]) == one_pass(rows, agree)
 
 
+def own(i, lines=6):
+    return "\n".join(" ".join(f"{i}own{k}word{j}" for j in range(6)) for k in range(lines))
+
+
+def test_boilerplate_goes_however_much_and_near_copies_are_one_carrier(spark):
+    passage = " ".join(f"passage{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))
+    copied = "\n".join(prose(i, 14) for i in range(60, 66))
+    texts = [f"{own(i)}\n{passage}" for i in range(4)] + [passage] + [copied + more for more in ("", "\nmore", "\nstill more", "\nof it")]
+    got = run(spark, texts, whole=100)
+    assert [got[i].text for i in range(len(texts))] == [own(i) for i in range(4)] + [""] + texts[5:]
+    # Two near copies and another document are two carriers.
+    line = prose(60, 14)
+    texts = [copied, copied + "\nmore", f"{own(9)}\n{line}"]
+    assert [r.text for _, r in sorted(run(spark, texts, whole=100).items())] == texts
+    got = run(spark, [*texts, f"{own(10)}\n{line}"], whole=100)
+    assert [got[i].n_dropped for i in range(4)] == [1, 1, 1, 1]
+
+
+def test_query_and_pipeline_drop_what_fills_most_of_a_document(spark, tmp_path):
+    import corpus_pipeline
+
+    passage = " ".join(f"passage{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))
+    rows = [(i, f"{own(i)}\n{passage}", "en", "web", 0) for i in range(5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    assert [r.n_dropped for r in queries.op8_log_templates(spark, str(tmp_path)).collect()] == [1] * 5
+    assert {r.doc_id: r.text for r in corpus_pipeline.without_boilerplate(spark, table, str(tmp_path)).collect()} == {i: own(i) for i in range(5)}
+
+
 def test_size_of_a_task_changes_no_line(spark, monkeypatch):
     rng = np.random.default_rng(3)
-    own = lambda i: "\n".join(" ".join(f"{i}own{k}word{j}" for j in range(6)) for k in range(6))
     texts = [f"{own(i)}\nthe same head {' '.join('abcd'[k] for k in rng.integers(0, 4, 9))}" for i in range(400)]
     whole = {i: r.n_dropped for i, r in run(spark, texts).items()}
     assert len(set(whole.values())) == 2
