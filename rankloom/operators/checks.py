@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankloom.functions import text as X
 from rankloom.sources.tables import require
@@ -70,9 +71,15 @@ def without(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
 
 
 def count_mismatches(df: DataFrame, expected: dict[str, int], by: str = "split") -> list[str]:
-    """Differences between a table's counts and a summary's."""
-    found = {r[0]: r[1] for r in df.groupBy(by).count().limit(10_000).collect()}
-    return [f"{k}: {found.get(k, 0)} rows, {expected.get(k, 0)} expected" for k in sorted({*found, *expected}, key=str) if found.get(k, 0) != expected.get(k, 0)]
+    """Differences between a table's counts and a summary's, over all groups."""
+    wanted = df.sparkSession.createDataFrame(list(expected.items()), T.StructType([T.StructField("key", df.schema[by].dataType), T.StructField("expected", T.LongType())]))
+    found = df.groupBy(F.col(by).alias("found_key")).agg(F.count(F.lit(1)).alias("rows"))
+    both = found.join(wanted, F.col("found_key").eqNullSafe(F.col("key")), "full_outer")
+    # A null key of the table is a group too, so presence is told by the counts.
+    key = F.when(F.col("rows").isNotNull(), F.col("found_key")).otherwise(F.col("key")).alias("key")
+    rows, wants = F.coalesce("rows", F.lit(0)), F.coalesce("expected", F.lit(0))
+    wrong = both.where(rows != wants).select(key, rows.alias("rows"), wants.alias("expected")).collect()
+    return [f"{r['key']}: {r['rows']} rows, {r['expected']} expected" for r in sorted(wrong, key=lambda r: str(r["key"]))]
 
 
 def distinct_count(df: DataFrame, *key: str) -> int:

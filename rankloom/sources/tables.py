@@ -21,10 +21,10 @@ def read_split(spark: SparkSession, path: str, split: str | None = "train", colu
     """A saved table, or one split of a table that is partitioned by split; head takes the first rows by position."""
     df = spark.read.parquet(path)
     if split is not None and "split" in df.columns:
-        have = {r[0] for r in df.select("split").distinct().limit(100).collect()}
-        if split not in have:
+        whole, df = df, df.where(F.col("split") == split)
+        if not df.head(1):
+            have = {r[0] for r in whole.select("split").distinct().limit(100).collect()}
             raise ValueError(f"{path} has no split {split!r}, but {sorted(map(str, have))}")
-        df = df.where(F.col("split") == split)
     df = require(df, columns)
     if head is not None:
         if position is None:

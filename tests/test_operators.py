@@ -179,6 +179,14 @@ def test_hard_prompts(spark):
     assert not got[2].selected and got[3].hard_prompt_score == 0.0
 
 
+def test_count_mismatches_sees_every_group(spark):
+    df = spark.range(10_500).selectExpr("cast(id as string) AS split")
+    assert checks.count_mismatches(df, {str(i): 1 for i in range(10_500)}) == []
+    some = spark.createDataFrame([(None,), ("a",)], "split string")
+    assert checks.count_mismatches(some, {"b": 2}) == ["None: 1 rows, 0 expected", "a: 1 rows, 0 expected", "b: 0 rows, 2 expected"]
+    assert checks.count_mismatches(some, {None: 1, "a": 1, "c": 0}) == []
+
+
 def test_checks(spark):
     df = spark.createDataFrame([("p", "train"), ("p", "validation"), ("q", "train")], "prompt_hash string, split string")
     assert [r[0] for r in checks.leaked(df).collect()] == ["p"]

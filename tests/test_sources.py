@@ -29,6 +29,12 @@ def test_sources_fall_back_to_the_next_place(spark, tmp_path):
         catalog.read_source(spark, catalog.Source("gone", "gone"), str(tmp_path))
 
 
+def test_read_split_finds_each_of_many(spark, tmp_path):
+    path = f"{tmp_path}/many"
+    spark.range(130).selectExpr("id AS x", "cast(id as string) AS split").write.parquet(path)
+    assert all(tables.read_split(spark, path, str(i)).first().x == i for i in range(130))
+
+
 def test_splits_and_parts(spark, tmp_path):
     df = spark.createDataFrame([(1, "train"), (2, "validation")], "x long, split string")
     path = str(tmp_path / "t")
