@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of a batch that goes to Python; a batch holds whole rows, so it is about this many texts large.
 BATCH_ROWS = 500
@@ -19,8 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Keep Arrow batches of long texts small enough for an executor's Python memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Keep Arrow batches of long texts small enough for an executor's Python memory: lowers the session's limit, never raises it.
+
+    Plans read the limit when they run, so it stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))
+
+
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """The collector of cycles paused, for a step that makes many objects and no cycles; workers are shared, so it goes on after."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -43,7 +63,25 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, what)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+#: Rows of one id each that are broadcast (tens of bytes each); above that they are joined by shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def few(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table of ids, marked for broadcast if it has at most `rows` rows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that stored() made and that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts worked on at once, in bytes; a longer text is worked on alone.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -8,7 +8,6 @@ hold is applied to whole texts. Defined results: a null or empty text has no ids
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -23,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankloom.llm.common import pieces, small_batches, text_column
+from rankloom.llm.common import pieces, small_batches, text_column, uncollected
 
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
-#: Distinct chunks in each of the two halves of a worker's table. When the newer half is full it
+#: Distinct chunks in each of the two halves of a task's table. When the newer half is full it
 #: becomes the older one, so chunks that come again stay and memory is bounded.
 TABLE = 100_000
 #: Characters of a chunk that is kept; longer ones are segmented each time.
@@ -48,6 +47,10 @@ class ChunkEncoder:
         self.older: dict[str, Segmented] = {}
         self.by_chunk = self.separable()
 
+    def forget(self) -> None:
+        """Empty the table, so that a worker keeps the model alone for its next task."""
+        self.newer, self.older = {}, {}
+
     def separable(self) -> bool:
         """Whether chunks can be segmented apart: no piece crosses a marker, and normalisation only marks blanks and the start."""
         sp = self.model
@@ -89,6 +92,10 @@ class ChunkEncoder:
 
     def batch(self, texts: pa.Array) -> Batch:
         """The texts as positions in a table of the ids of their distinct chunks."""
+        with uncollected():
+            return self._batch(texts)
+
+    def _batch(self, texts: pa.Array) -> Batch:
         odd = pc.or_(pc.match_substring_regex(texts, f"^ |  | $|{MARK}"), pc.equal(texts, ""))
         if self.by_chunk and not pc.any(odd).as_py():
             split = pc.split_pattern(texts, " ")
@@ -130,8 +137,7 @@ class Batch:
 
 @lru_cache(2)
 def encoder(model: str) -> ChunkEncoder:
-    """One for each worker process and model file. Its lists hold no cycles, so the collector needn't visit them."""
-    gc.disable()
+    """One for each worker process and model file."""
     return ChunkEncoder(model)
 
 
@@ -153,9 +159,12 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
     schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in blocks(batch, text):
-                yield pa.RecordBatch.from_arrays([*part.columns, encoder(model).batch(texts).ids()], names=[*part.schema.names, ids])
+        try:
+            for batch in batches:
+                for part, texts in blocks(batch, text):
+                    yield pa.RecordBatch.from_arrays([*part.columns, encoder(model).batch(texts).ids()], names=[*part.schema.names, ids])
+        finally:
+            encoder(model).forget()
 
     return kept.mapInArrow(run, schema)
 
@@ -181,12 +190,15 @@ def digests(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text"
     schema = T.StructType([docs.schema[key], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in blocks(batch, text):
-                coded = encoder(model).batch(texts)
-                ids = coded.ids()
-                decoded = [encoder(model).model.decode(x) if x else "" for x in ids.to_pylist()]
-                made = [pa.array(np.diff(ids.offsets.to_numpy()), pa.int64()), pa.array(map(_sha, coded.written()), pa.string()), pa.array(map(_sha, decoded), pa.string())]
-                yield pa.RecordBatch.from_arrays([part.column(0), *made], names=schema.names)
+        try:
+            for batch in batches:
+                for part, texts in blocks(batch, text):
+                    coded = encoder(model).batch(texts)
+                    ids = coded.ids()
+                    decoded = [encoder(model).model.decode(x) if x else "" for x in ids.to_pylist()]
+                    made = [pa.array(np.diff(ids.offsets.to_numpy()), pa.int64()), pa.array(map(_sha, coded.written()), pa.string()), pa.array(map(_sha, decoded), pa.string())]
+                    yield pa.RecordBatch.from_arrays([part.column(0), *made], names=schema.names)
+        finally:
+            encoder(model).forget()
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)

@@ -11,7 +11,6 @@ Defined results: a null or empty text has 0 pre-tokens and 0 tokens; repeated ro
 from __future__ import annotations
 
 import base64
-import gc
 import math
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankloom.llm.common import pieces, small_batches, text_column
+from rankloom.llm.common import pieces, small_batches, text_column, uncollected
 
 #: Fixed value: the pattern that goes with the byte-level rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -82,9 +81,9 @@ class Unigram:
 
 @lru_cache(2)
 def unigram(ranks: str) -> Unigram:
-    """One for each worker process; its tree holds no cycles, so the collector needn't visit it."""
-    gc.disable()
-    return Unigram(zipf_costs(ranks))
+    """One for each worker process."""
+    with uncollected():
+        return Unigram(zipf_costs(ranks))
 
 
 @lru_cache(4)
@@ -104,11 +103,13 @@ def token_counts(docs: DataFrame, ranks: str, text: str = "text", pattern: str =
         for batch in batches:
             texts = text_column(batch, text)
             for a, b in pieces(texts, BLOCK):
-                split = [find(x) for x in texts.slice(a, b - a).to_pylist()]
-                distinct = {w.encode(): w for w in set(chain.from_iterable(split))}
-                counts = {distinct[w]: n for w, n in unigram(ranks).counts(distinct).items()}
+                with uncollected():
+                    split = [find(x) for x in texts.slice(a, b - a).to_pylist()]
+                    distinct = {w.encode(): w for w in set(chain.from_iterable(split))}
+                    counts = {distinct[w]: n for w, n in unigram(ranks).counts(distinct).items()}
+                    made = [pa.array(map(len, split), pa.int64()), pa.array([sum(map(counts.__getitem__, x)) for x in split], pa.int64())]
+                    del split, distinct, counts
                 part = batch.slice(a, b - a)
-                made = [pa.array(map(len, split), pa.int64()), pa.array([sum(map(counts.__getitem__, x)) for x in split], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *added])
 
     return docs.mapInArrow(run, schema)
