@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import stored, table
+from rankloom.llm.common import few, stored, table
 from rankloom.llm.log_templates import Tree, without_templates
 from rankloom.llm.mixing import mixed
 from rankloom.llm.near_dup import near_duplicates
@@ -32,11 +32,15 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates: five words, similarity 0.8."""
-    kept = stored(near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct(), "kept-ids")
-    once = docs.withColumn("_first", F.xxhash64("text"))
-    # Rows of one id and text are copies of one document.
-    return once.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "_first"]).select(*COLUMNS)
+    """The document with the smallest id of each group of near-duplicates (five words, similarity 0.8), and one row of each of its texts."""
+    groups = stored(near_duplicates(docs), "near-groups")
+    gone = few(stored(groups.where("NOT kept").select(F.col("doc_id").alias("_id")).distinct(), "near-gone"))
+    left = docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    # Rows of one id and text are copies; only ids of several rows are compared, so other texts don't move.
+    again = few(stored(groups.where("kept").groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_id"), "near-again"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    rows = left.join(again, same, "left_semi").withColumn("_first", F.xxhash64("text")).dropDuplicates(["doc_id", "_first"])
+    return left.join(again, same, "left_anti").select(*COLUMNS).union(rows.select(*COLUMNS))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

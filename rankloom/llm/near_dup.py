@@ -11,9 +11,10 @@ components has the pairs across its components compared as well, so no candidate
 undecided, yet no pairs are made inside what is already linked.
 
 Defined results: a null or empty text, or one without words, has no shingles and is its own
-component; a text of fewer words than a shingle is one shingle; rows that share an id are one
-document for the links; a null id is its own component, null, and kept; an empty table gives an
-empty result.
+component; a text of fewer words than a shingle is one shingle; rows with words that share an id
+are one document, so their links are joined; a null id is its own component, null, and kept; equal
+texts are alike whatever their number; a text is worked on whole, so the longest bounds the memory;
+other columns don't matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm import kernels as K
-from rankloom.llm.common import pieces, small_batches, stored, text_column
+from rankloom.llm.common import discard, pieces, small_batches, stored, text_column
 from rankloom.llm.components import components
 
 
@@ -45,7 +46,7 @@ class Settings:
 #: Ids of documents to confirm that are broadcast (8 bytes each); above that they are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 #: Shingles of a block of documents that are compared in memory with another block.
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 500_000
 
 _SIGNATURE = "doc_id long, n_shingles long, set_key long, halves array<long>"
 
@@ -103,14 +104,25 @@ def signatures(docs: DataFrame, key: str, text: str, s: Settings) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, _SIGNATURE)
 
 
+def _shared(slots: DataFrame, name: str) -> DataFrame:
+    """slots (set_key, half) -> (set_key, name): the half keys that a class has in common with another, for classes with any."""
+    often = slots.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half")
+    return slots.join(often, "half", "left_semi").groupBy("set_key").agg(F.array_sort(F.collect_list("half")).alias(name))
+
+
 def _keys(classes: DataFrame, s: Settings) -> DataFrame:
-    """(key, id, set_key, n) of the tables in which a class may meet another: a table needs both its half keys shared."""
-    slots = classes.select("id", "set_key", "n", F.posexplode("halves").alias("slot", "half"))
-    shared = slots.groupBy("slot", "half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("slot", "half")
-    left = slots.join(shared, ["slot", "half"], "left_semi")
-    mine = left.groupBy("id", "set_key", "n").agg(*(F.array_sort(F.collect_list(F.when(w, F.struct("slot", "half")))).alias(c) for c, w in (("one", F.col("slot") < s.halves), ("two", F.col("slot") >= s.halves))))
-    pairs = mine.withColumn("x", F.explode("one")).withColumn("y", F.explode("two"))
-    return pairs.select(F.xxhash64("x.slot", "x.half", "y.slot", "y.half").alias("key"), "id", "set_key", "n")
+    """(key, id, set_key, n) of the tables in which a class may meet another: a table needs both its half keys shared.
+
+    A half key holds its slot. Classes alone in the whole first collection leave before the second is looked at.
+    """
+    one = stored(_shared(classes.select("set_key", F.explode(F.slice("halves", 1, s.halves)).alias("half")), "one"), "near-halves")
+    left = classes.join(one.select("set_key"), "set_key", "left_semi")
+    two = _shared(left.select("set_key", F.explode(F.slice("halves", s.halves + 1, s.halves)).alias("half")), "two")
+    both = one.join(two, "set_key").join(classes.select("set_key", "id", "n"), "set_key")
+    pairs = both.withColumn("x", F.explode("one")).withColumn("y", F.explode("two"))
+    keys = stored(pairs.select(F.xxhash64("x", "y").alias("key"), "id", "set_key", "n"), "near-keys")
+    discard(one)
+    return keys
 
 
 def _alike_sizes(s: Settings, a: Column, b: Column) -> Column:
@@ -119,8 +131,7 @@ def _alike_sizes(s: Settings, a: Column, b: Column) -> Column:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, s: Settings) -> DataFrame:
-    """(set_key, grams): the sorted shingle hashes, as bytes, of the documents with those ids."""
-    ids = stored(ids.distinct(), "near-ids")
+    """(set_key, grams): the sorted shingle hashes, as bytes, of the documents with those ids, dealt by set_key."""
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     chosen = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).join(ids, "doc_id", "left_semi").select("text")
@@ -134,13 +145,14 @@ def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, s: Settings) ->
                 keys = [int(K.mix(np.add.reduce(K.mix(g ^ np.uint64(s.seed)), keepdims=True) + np.uint64(len(g))).view(np.int64)[0]) for g in sets]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([g.tobytes() for g in sets], pa.binary())], names=["set_key", "grams"])
 
-    return stored(chosen.mapInArrow(run, "set_key long, grams binary").dropDuplicates(["set_key"]), "near-sets")
+    return chosen.mapInArrow(run, "set_key long, grams binary").dropDuplicates(["set_key"])
 
 
 def _confirm(docs: DataFrame, pairs: DataFrame, key: str, text: str, s: Settings) -> DataFrame:
-    """Of pairs (a, b, a_key, b_key) those whose full sets are alike enough: (a, b)."""
+    """Of pairs (a, b, a_key, b_key) those whose full sets are alike enough: (a, b), stored."""
     pairs = stored(pairs, "near-pairs")
-    sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), key, text, s)
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-ids")
+    sets = stored(_sets(docs, ids, key, text, s), "near-sets")
     both = pairs.join(sets.toDF("a_key", "a_grams"), "a_key").join(sets.toDF("b_key", "b_grams"), "b_key").select("a", "b", "a_grams", "b_grams")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,15 +167,18 @@ def _confirm(docs: DataFrame, pairs: DataFrame, key: str, text: str, s: Settings
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    links = stored(both.mapInArrow(run, "a long, b long"), "near-links")
+    discard(pairs, ids, sets)
+    return links
 
 
 def _across(docs: DataFrame, keys: DataFrame, pivots: DataFrame, found: DataFrame, key: str, text: str, s: Settings) -> DataFrame:
-    """Links (a, b) between components that meet in a bucket, one for each document and component at least.
+    """Links (a, b) between components that meet in a bucket, one for each document and component at least; stored.
 
     Buckets with one pivot share most members, so their members are put together by pivot. Those
-    outside a group's largest component are compared with all its members, in blocks of bounded
-    shingles, whatever the size of the group; only links leave a block.
+    outside a group's largest component, the askers, are compared with all its members, whatever the
+    size of the group. Askers and members are dealt to blocks of bounded shingles; a set is sent
+    once to each cell of an asking and a told block that needs it, and only links leave a cell.
     """
     spark = docs.sparkSession
     placed = keys.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -171,15 +186,18 @@ def _across(docs: DataFrame, keys: DataFrame, pivots: DataFrame, found: DataFram
     members = placed.join(pivots.select("key", F.col("pivot.set_key").alias("pivot")).join(mixed, "key"), "key").select("pivot", "id", "set_key", "n", "component").distinct()
     members = stored(members, "near-members")
     sizes = members.groupBy("pivot", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
-    groups = sizes.groupBy("pivot").agg(F.max(F.struct("c", (-F.col("component")).alias("low"))).alias("most"), F.sum("n").alias("n"))
-    groups = groups.select("pivot", (-F.col("most.low")).alias("main"), F.ceil(F.col("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    sets = _sets(docs, members.select(F.col("id").alias("doc_id")), key, text, s)
-    rows = members.join(groups, "pivot").join(sets, "set_key").withColumn("block", F.pmod(F.hash("set_key"), F.col("blocks")))
-    # Block q asks block t; a member is told to every block, and asks in every other one. In its own it does both.
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    groups = sizes.groupBy("pivot").agg(F.max(F.struct("c", (-F.col("component")).alias("low"), "n")).alias("most"), F.sum("n").alias("n"))
+    in_blocks = lambda n: F.greatest(F.ceil(n / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    groups = groups.select("pivot", (-F.col("most.low")).alias("main"), in_blocks(F.col("n")).alias("told_blocks"), in_blocks(F.col("n") - F.col("most.n")).alias("ask_blocks"))
+    ids = stored(members.select(F.col("id").alias("doc_id")).distinct(), "near-ids")
+    sets = stored(_sets(docs, ids, key, text, s), "near-sets")
+    rows = members.join(groups, "pivot").join(sets, "set_key")
+    rows = rows.withColumn("own_q", F.pmod(F.hash("set_key"), F.col("ask_blocks"))).withColumn("own_t", F.pmod(F.hash(F.lit(1), "set_key"), F.col("told_blocks")))
+    # A member is told to every asking block; an asker asks every told block as well. In one cell it does both.
     outside = F.col("component") != F.col("main")
-    told = F.transform(every, lambda q: F.struct(q.alias("q"), F.col("block").alias("t"), (outside & (q == F.col("block"))).alias("asks"), F.lit(True).alias("told")))
-    asked = F.transform(F.filter(every, lambda t: outside & (t != F.col("block"))), lambda t: F.struct(F.col("block").alias("q"), t.alias("t"), F.lit(True).alias("asks"), F.lit(False).alias("told")))
+    cell = lambda q, t, asks, told: F.struct(q.alias("q"), t.alias("t"), asks.alias("asks"), told.alias("told"))
+    told = F.transform(F.sequence(F.lit(0), F.col("ask_blocks") - 1), lambda q: cell(q, F.col("own_t"), outside & (q == F.col("own_q")), F.lit(True)))
+    asked = F.transform(F.filter(F.sequence(F.lit(0), F.col("told_blocks") - 1), lambda t: outside & (t != F.col("own_t"))), lambda t: cell(F.col("own_q"), t, F.lit(True), F.lit(False)))
     dealt = rows.withColumn("place", F.explode(F.concat(told, asked))).select("pivot", "place.*", "id", "component", "grams")
 
     def compare(group: pa.Table) -> pa.Table:
@@ -205,7 +223,16 @@ def _across(docs: DataFrame, keys: DataFrame, pivots: DataFrame, found: DataFram
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     small_batches(spark)
-    return dealt.groupBy("pivot", "q", "t").applyInArrow(compare, "a long, b long")
+    links = stored(dealt.groupBy("pivot", "q", "t").applyInArrow(compare, "a long, b long"), "near-links")
+    discard(members, ids, sets)
+    return links
+
+
+def _by_id(some: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of the rows that share an id: they are one document."""
+    several = some.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low <> high").select("doc_id")
+    rows = some.join(several, "doc_id", "left_semi").select("doc_id", "set_key").distinct().join(classes.select("set_key", "id"), "set_key")
+    return rows.join(rows.groupBy("doc_id").agg(F.min("id").alias("a")), "doc_id").select("a", F.col("id").alias("b")).where("a <> b").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None) -> DataFrame:
@@ -214,17 +241,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
     signed = stored(signatures(docs, key, text, s), "near-signatures")
     some = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(some.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("c")), "near-classes")
-    keys = stored(_keys(classes, s), "near-keys")
+    keys = _keys(classes, s)
     pivots = keys.groupBy("key").agg(F.min(F.struct("id", "set_key", "n")).alias("pivot"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "pivot")
     near = keys.join(pivots, "key").where((F.col("set_key") != F.col("pivot.set_key")) & _alike_sizes(s, F.col("n"), F.col("pivot.n")))
     columns = [F.col("pivot.id").alias("a"), F.col("id").alias("b"), F.col("pivot.set_key").alias("a_key"), F.col("set_key").alias("b_key")]
-    links = stored(_confirm(docs, near.select(*columns).distinct(), key, text, s), "near-links")
-    found = stored(components(links), "near-components")
-    more = stored(_across(docs, keys, pivots, found, key, text, s), "near-links")
+    confirmed = _confirm(docs, near.select(*columns).distinct(), key, text, s)
+    links = stored(confirmed.union(_by_id(some, classes)), "near-links")
+    found = components(links)
+    more = _across(docs, keys, pivots, found, key, text, s)
     if more.head(1):
-        found = stored(components(links.union(more)), "near-components")
+        found = components(links.union(more))
     # Only classes of several rows or with links differ from their rows' ids.
     merged = classes.join(found, "id", "left").where("c > 1 OR component IS NOT NULL").select("set_key", F.coalesce("component", "id").alias("component"))
-    out = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_key")).alias("set_key")).join(merged, "set_key", "left")
+    merged = stored(merged, "near-merged")
+    discard(classes, keys, confirmed, links, more)
+    out = signed.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(merged, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

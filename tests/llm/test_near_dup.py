@@ -2,6 +2,9 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from rankloom.llm import components as C
 from rankloom.llm import near_dup as N
 from rankloom.llm import queries
 from rankloom.llm.components import components
@@ -26,6 +29,8 @@ def brute(rows, n, percent):
     for i in range(len(rows)):
         for j in range(i):
             common = len(sets[i] & sets[j])
+            if rows[i][0] is not None and rows[i][0] == rows[j][0] and sets[i] and sets[j]:
+                root[find(i)] = find(j)
             if rows[i][0] is not None and rows[j][0] is not None and common and 100 * common >= percent * len(sets[i] | sets[j]):
                 root[find(i)] = find(j)
     low = {}
@@ -67,6 +72,26 @@ def test_links_across_the_components_of_a_bucket(spark, monkeypatch):
     assert got == {k: c for k, _, c in brute(chain, 3, 85)} and set(got.values()) == {0}
 
 
+def test_rows_that_share_an_id_are_one_document(spark):
+    text = {c: " ".join(f"{c}{i}" for i in range(40)) for c in "abcd"}
+    rows = [(3, text["a"]), (7, text["a"]), (7, text["b"]), (9, text["b"]), (9, text["c"]), (5, text["d"]), (5, text["d"]), (5, None), (7, "")]
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == sorted(brute(rows, 5, 80))
+    assert {x.component_id for x in got if x.n_shingles} == {3, 5}
+
+
+def test_group_of_copies_below_the_threshold(spark, monkeypatch):
+    """Copies of one base that are mostly too unlike each other: their links are found across many components."""
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", 2000)
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(mutated(r, base, 0.02))) for i in range(150)]
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute(rows, 5, 80)
+    assert len({c for _, _, c in want}) > 5
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == sorted(want)
+
+
 def test_large_groups_of_copies(spark):
     r = random.Random(5)
     base = [f"w{i}" for i in range(60)]
@@ -80,10 +105,21 @@ def test_empty_table(spark):
     assert N.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("chunk", [200_000, 1])
+def test_components_of_chains_and_stars(spark, monkeypatch, chunk):
+    monkeypatch.setattr(C, "CHUNK", chunk)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (500, 400), (400, 300)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 300: 300, 400: 300, 500: 300}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_a_hub_of_many_edges(spark):
+    edges = spark.range(1, 100_001).select(F.lit(0).alias("a"), F.col("id").alias("b"))
+    assert components(edges.repartition(8)).where("component = 0").count() == 100_001
 
 
 def test_query(spark, sf_dir):
