@@ -3,29 +3,31 @@
 from __future__ import annotations
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
-_GRAMS = (5, 6, 7, 8, 9, 10)
+#: Largest percentage of characters in repeated n-grams, by n.
+_GRAMS = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
 
 
 def _quality() -> str:
     """Repetition within each text; an n-gram is its words joined by blanks, which words don't hold."""
     parts = [f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM (SELECT doc_id, regexp_extract_all(text, {_WORD}) AS ws FROM t)),
 l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM t)),
-ld AS (SELECT doc_id, line, list_sum(list_transform(regexp_extract_all(line, {_WORD}), lambda x: length(x))) AS chars, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) AS k FROM l WHERE regexp_matches(line, {_WORD})),
+ld AS (SELECT doc_id, line, i, list_sum(list_transform(regexp_extract_all(line, {_WORD}), lambda x: length(x))) AS chars, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) AS k FROM l WHERE regexp_matches(line, {_WORD})),
+w AS (SELECT doc_id, word, line_again, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS i FROM (
+    SELECT doc_id, i, k > 1 AS line_again, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM (SELECT *, regexp_extract_all(line, {_WORD}) AS ws FROM ld))),
 lines AS (SELECT doc_id, count(*) FILTER (k > 1) AS n_dup_lines, coalesce(sum(chars) FILTER (k > 1), 0)::BIGINT AS dup_line_chars FROM ld GROUP BY 1),
 base AS (SELECT doc_id, len(regexp_extract_all(text, {_WORD})) AS n_words, coalesce(list_sum(list_transform(regexp_extract_all(text, {_WORD}), lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols FROM t)"""]
     for n in (3, *_GRAMS):
         gram = " || ' ' || ".join(f"lead(word, {j}) OVER d" if j else "word" for j in range(n))
         again = "count(*) OVER (PARTITION BY doc_id, g) > 1" if n == 3 else "row_number() OVER (PARTITION BY doc_id, g ORDER BY i) > 1"
-        value = "count(*)" if n == 3 else "sum(length(word))"
+        value = "count(*)" if n == 3 else "sum(CASE WHEN line_again THEN 0 ELSE length(word) END)"
         parts.append(f"""
-g{n} AS (SELECT doc_id, i, word, {gram} AS g FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-a{n} AS (SELECT doc_id, i, word, g IS NOT NULL AND {again} AS again FROM g{n}),
-c{n} AS (SELECT doc_id, {value}::BIGINT AS n FROM (SELECT doc_id, word, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS inside FROM a{n}) WHERE inside GROUP BY 1)""")
+g{n} AS (SELECT doc_id, i, word, line_again, {gram} AS g FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+a{n} AS (SELECT doc_id, i, word, line_again, g IS NOT NULL AND {again} AS again FROM g{n}),
+c{n} AS (SELECT doc_id, {value}::BIGINT AS n FROM (SELECT doc_id, word, line_again, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS inside FROM a{n}) WHERE inside GROUP BY 1)""")
     grams = ", ".join(f"coalesce(c{n}.n, 0) AS dup{n}_chars" for n in _GRAMS)
     joins = " ".join(f"LEFT JOIN c{n} USING (doc_id)" for n in (3, *_GRAMS))
-    bad = " OR ".join(f"100 * dup{n}_chars > 20 * word_chars" for n in _GRAMS)
+    bad = " OR ".join(f"100 * dup{n}_chars > {most} * word_chars" for n, most in _GRAMS.items())
     return ",".join(parts) + f""",
 m AS (SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(c3.n, 0) AS n_repeat_words, coalesce(dup_line_chars, 0) AS dup_line_chars, {grams} FROM base LEFT JOIN lines USING (doc_id) {joins}),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)

@@ -1,10 +1,12 @@
 """Quality rules by repetition coverage.
 
 Rolling hashes of several n-gram lengths find, in each text, the characters inside n-grams and
-lines that occurred before in the same text. Defined results: a null or empty text has no words
-and fails the base rule; repeated rows are judged alike and all returned; extra columns pass
-through unless named like a result, then the result replaces them. A text is held in memory
-whole, so the longest text bounds the memory.
+lines that occurred before in the same text. Characters of repeated lines count for the rule of
+lines alone, so that one repeated line is not counted against a text seven times. The longer an
+n-gram, the less of a text may lie in repeated ones. Defined results: a null or empty text has no
+words and fails the base rule; a table without rows gives none; repeated rows are judged alike and
+all returned; extra columns pass through unless named like a result, then the result replaces them.
+A text is held in memory whole, so the longest text bounds the memory.
 """
 
 from __future__ import annotations
@@ -27,15 +29,13 @@ _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
 @dataclass(frozen=True)
 class Rules:
-    """Largest allowed percentages; duplicated characters are those of later occurrences.
-
-    A fifth lets a short text repeat one line, which alone does not make it bad."""
+    """Largest allowed percentages; duplicated characters are those of later occurrences, for n-grams outside repeated lines."""
 
     min_words: int = 50
     repeat_words: int = 50
     dup_line_chars: int = 20
     symbols: int = 10
-    dup_gram_chars: dict[int, int] = field(default_factory=lambda: {n: 20 for n in (5, 6, 7, 8, 9, 10)})
+    dup_gram_chars: dict[int, int] = field(default_factory=lambda: {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10})
 
 
 def measures(rules: Rules) -> list[str]:
@@ -68,6 +68,11 @@ def measure(texts: pa.Array, lengths: list[int]) -> dict[str, np.ndarray]:
     np.cumsum(word_chars, out=so_far[1:])
     out["dup_line_chars"] = np.bincount(line_text[again], so_far[to_word[again]] - so_far[from_word[again]], len(texts)).astype(np.int64)
 
+    edges = np.zeros(n + 1, np.int64)
+    np.add.at(edges, from_word[again], 1)
+    np.add.at(edges, to_word[again], -1)
+    own_chars = np.where(np.cumsum(edges[:-1]) > 0, 0, word_chars)
+
     rolling = K.Rolling(w.hashes())
     for k in [3, *lengths]:
         keys = rolling.grams(k)
@@ -79,7 +84,7 @@ def measure(texts: pa.Array, lengths: list[int]) -> dict[str, np.ndarray]:
             out["n_repeat_words"] = K.sums(K.covered(at[found], k, n), w.first) if len(found) else np.zeros(len(texts), np.int64)
         if k in lengths:
             found = K.later(keys, found)
-            out[f"dup{k}_chars"] = K.sums(np.where(K.covered(at[found], k, n), word_chars, 0), w.first) if len(found) else np.zeros(len(texts), np.int64)
+            out[f"dup{k}_chars"] = K.sums(np.where(K.covered(at[found], k, n), own_chars, 0), w.first) if len(found) else np.zeros(len(texts), np.int64)
     return out
 
 

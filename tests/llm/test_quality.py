@@ -1,5 +1,7 @@
 from collections import Counter
 
+import pytest
+
 from rankloom.llm.oracle import SQL
 from rankloom.llm.quality import Rules, quality
 
@@ -9,10 +11,11 @@ def brute(text, rules):
     words = [w.decode() for w in text.encode().split()]
     n, chars = len(words), sum(map(len, words))
     out = {"n_words": n, "word_chars": chars, "n_symbols": sum(text.count(c) for c in "#*$%&|<>")}
-    seen, dup, dup_chars = set(), 0, 0
+    seen, dup, dup_chars, repeated = set(), 0, 0, []
     for line in text.split("\n"):
         parts = line.encode().split()
         if parts:
+            repeated += [line in seen] * len(parts)
             if line in seen:
                 dup += 1
                 dup_chars += sum(len(p.decode()) for p in parts)
@@ -28,7 +31,7 @@ def brute(text, rules):
         if k == 3:
             out["n_repeat_words"] = len(inside)
         else:
-            out[f"dup{k}_chars"] = sum(len(words[i]) for i in inside)
+            out[f"dup{k}_chars"] = sum(len(words[i]) for i in inside if not repeated[i])
     out["base_failed"] = n < rules.min_words or 100 * out["n_repeat_words"] > rules.repeat_words * n
     bad = out["base_failed"] or 100 * dup_chars > rules.dup_line_chars * chars or 100 * out["n_symbols"] > rules.symbols * n
     out["kept"] = not (bad or any(100 * out[f"dup{k}_chars"] > m * chars for k, m in rules.dup_gram_chars.items()))
@@ -52,6 +55,32 @@ def test_quality_equals_brute_force(spark):
     assert got[6].kept and got[7].kept and not got[8].kept
 
 
+@pytest.mark.parametrize("n", [5, 6, 7, 8, 9, 10])
+def test_each_length_alone_rejects(spark, n):
+    """Repeated runs of n words, a little more of them than n may have and less than n - 1 may."""
+    runs, size = 4, 4 * n * 100
+    share = Rules().dup_gram_chars[n] + 0.5
+    total = round(size / share / 4) * 4
+    run = [[f"r{chr(97 + i)}{chr(97 + j)}x" for j in range(n)] for i in range(runs)]
+    words = [w for i, r in enumerate(run) for w in [*r, f"m{i}xx"]]
+    again = [w for i, r in enumerate(run) for w in [*r, f"n{i}xx"]]
+    rest = [f"{i:04d}" for i in range(total - len(words) - len(again))]
+    text = " ".join(words + rest + again)
+    rules = Rules()
+    row = quality(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    over = [k for k, most in rules.dup_gram_chars.items() if 100 * row[f"dup{k}_chars"] > most * row.word_chars]
+    assert over == [n] and not row.base_failed and not row.kept
+    without = Rules(dup_gram_chars={k: v for k, v in rules.dup_gram_chars.items() if k != n})
+    assert quality(spark.createDataFrame([(1, text)], "doc_id long, text string"), rules=without).first().kept
+
+
+def test_one_repeated_line_is_judged_as_a_line(spark):
+    line = " ".join(f"line{i:02d}" for i in range(12))
+    text = f"{line}\n" + " ".join(f"word{i:02d}" for i in range(60)) + f"\n{line}"
+    row = quality(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.kept and row.n_dup_lines == 1 and row.dup_line_chars == 72 and row.dup10_chars == 0
+
+
 def test_empty_table(spark):
     assert quality(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
