@@ -67,12 +67,12 @@ def bucket(key: Column, base: int) -> Column:
 
 
 def example_key(df: DataFrame) -> Column:
-    """Stable key of an example: its prompt hash, sample id, hashed text or hashed chat, the first that isn't empty."""
+    """Stable key of an example: its prompt hash or sample id if not empty, its hashed text if not null, else its hashed chat; a null chat or response is empty."""
     options = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in ("prompt_hash", "sample_id") if c in df.columns]
     if "text" in df.columns:
-        options.append(sha1(F.nullif(F.col("text").cast("string"), F.lit(""))))
+        options.append(sha1(F.col("text").cast("string")))
     if {"messages", "response"} <= set(df.columns):
-        options.append(sha1(F.concat(plain(F.col("messages")), F.lit("\n<assistant>\n"), X.clean(F.col("response")))))
+        options.append(sha1(F.concat(F.coalesce(plain(F.col("messages")), F.lit("")), F.lit("\n<assistant>\n"), X.clean(F.col("response")))))
     return F.coalesce(*options)
 
 

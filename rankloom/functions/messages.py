@@ -36,10 +36,18 @@ def _or_null(messages: Column) -> Column:
     return F.when(F.size(messages) > 0, messages)
 
 
-def _fields(df: DataFrame, column: str) -> set[str]:
+def _fields(df: DataFrame, column: str) -> dict[str, T.DataType]:
     kind = df.schema[column].dataType
     inner = kind.elementType if isinstance(kind, T.ArrayType) else None
-    return set(inner.names) if isinstance(inner, T.StructType) else set()
+    return {f.name: f.dataType for f in inner.fields} if isinstance(inner, T.StructType) else {}
+
+
+def _said(x: Column, kind: T.DataType) -> Column:
+    """The stripped text of a value, a list's by lines; null for null and for what counts as nothing: "", 0, false and []."""
+    if isinstance(kind, T.ArrayType):
+        return F.when(F.size(x) > 0, X.clean_lines(x))
+    something = x if isinstance(kind, T.BooleanType) else x != F.lit(0) if isinstance(kind, T.NumericType) else x.cast("string") != ""
+    return F.when(something, X.clean(x))
 
 
 def from_list(df: DataFrame, column: str) -> Column:
@@ -48,7 +56,8 @@ def from_list(df: DataFrame, column: str) -> Column:
     roles, contents = [k for k in ROLE_KEYS if k in have], [k for k in CONTENT_KEYS if k in have]
     if not roles or not contents:
         return none()
-    made = F.transform(F.filter(F.col(column), lambda m: m.isNotNull()), lambda m: message(X.role(X.first_said(*(m[k] for k in roles))), X.clean(X.first_said(*(m[k] for k in contents)))))
+    said = lambda m: F.coalesce(*(_said(m[k], have[k]) for k in contents), F.lit(""))
+    made = F.transform(F.filter(F.col(column), lambda m: m.isNotNull()), lambda m: message(X.role(X.first_said(*(m[k] for k in roles))), said(m)))
     return _or_null(F.filter(made, lambda m: m["role"].isNotNull() & (m["content"] != "")))
 
 
@@ -77,15 +86,20 @@ def extract(df: DataFrame) -> Column:
     """Messages of a raw record: its first usable chat, led by its system text, or its plain columns."""
     lists = [from_list(df, c) for c in CHATS if c in df.columns and isinstance(df.schema[c].dataType, T.ArrayType)]
     chat = F.coalesce(*lists) if lists else none()
-    led = F.when(F.get(chat, F.lit(0))["role"] == "system", chat).otherwise(F.concat(system_message(df), chat))
-    return F.coalesce(F.when(chat.isNotNull(), led), from_fields(df))
+    system = system_message(df)
+    led = X.bound(chat, lambda c: F.when(F.get(c, F.lit(0))["role"] == "system", c).otherwise(F.concat(system, c)))
+    return F.coalesce(led, from_fields(df))
 
 
 def trim_to_prompt(messages: Column) -> Column:
-    """Messages with a role and content up to the last user's; null without one."""
-    kept = F.filter(F.transform(messages, lambda m: message(m["role"], X.clean(m["content"]))), lambda m: m["role"].isin("system", "user", "assistant") & (m["content"] != ""))
-    last = F.array_max(F.transform(kept, lambda m, i: F.when(m["role"] == "user", i + 1)))
-    return F.when(last.isNotNull(), F.slice(kept, F.lit(1), last))
+    """Messages with a content, up to the last user's; a role of no known spelling is the user's. Null without a user's."""
+    known = F.transform(messages, lambda m: message(F.coalesce(X.role(m["role"]), F.lit("user")), X.clean(m["content"])))
+
+    def cut(kept: Column) -> Column:
+        last = F.array_max(F.transform(kept, lambda m, i: F.when(m["role"] == "user", i + 1)))
+        return F.when(last.isNotNull(), F.slice(kept, F.lit(1), last))
+
+    return X.bound(F.filter(known, lambda m: m["content"] != ""), cut)
 
 
 def last_user(messages: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: The 29 white-space code points that stripping and collapsing know (Java's \s is ASCII only).
 BLANK = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: The same characters, for trimming.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Spellings of the three roles.
 ROLES = {
     "system": "system", "sys": "system",
@@ -24,11 +27,16 @@ ANSWER_REQUEST = "\n\nPlease answer in Japanese.\n日本語で回答してくだ
 
 
 def strip(x: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(x, f"^{BLANK}+", ""), f"{BLANK}+\\z", "")
+    return F.btrim(x, F.lit(BLANKS))
 
 
 def rstrip(x: Column) -> Column:
-    return F.regexp_replace(x, f"{BLANK}+\\z", "")
+    return F.rtrim(x, F.lit(BLANKS))
+
+
+def bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x) with x evaluated once, however often f uses it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
 
 
 def collapse(x: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions import stats as S
+from rankloom.operators.work import stored
 
 
 def group_column(df: DataFrame, primary: str = "global_prompt_index", fallback: str = "prompt_hash") -> str:
@@ -19,7 +20,7 @@ def rank_average(df: DataFrame, value: str, name: str = "rank", by: str | None =
     """df with 1-based ranks of value, ties averaged, within each `by`.
 
     Without `by`, a window would sort the table in one task. Values are counted instead, the counts
-    dealt in ranges of values, and added up in two levels; ranks then join back by value.
+    dealt in ranges of values, and added up in two levels; ranks then join back by value. df is read twice.
     """
     if by is not None:
         w = Window.partitionBy(by)
@@ -28,17 +29,17 @@ def rank_average(df: DataFrame, value: str, name: str = "rank", by: str | None =
     return df.join(average_ranks(df, value, name), F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
 
 
-def average_ranks(df: DataFrame, value: str, name: str = "rank", ranges: int = 64) -> DataFrame:
-    """(_value, name): the tie-averaged rank of each distinct value in the whole table."""
+def average_ranks(df: DataFrame, value: str, name: str = "rank") -> DataFrame:
+    """(_value, name): the tie-averaged rank of each distinct value in the whole table.
+
+    Distinct values are dealt in ranges, as many as the session has shuffle partitions, and stored with their range.
+    """
     counts = df.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    # Cut points are quantiles of the values: a bounded list, and any cuts give the same ranks.
-    cuts = df.select(F.col(value).cast("double").alias("v")).agg(F.percentile_approx("v", [i / ranges for i in range(1, ranges)], 1000)).first()[0] or []
-    part = sum((F.when(F.col("_value") > F.lit(c), 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
-    dealt = counts.withColumn("_part", part)
+    dealt = stored(counts.repartitionByRange("_value").withColumn("_part", F.spark_partition_id()), "rank-ranges")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("_part").agg(F.sum("_n").alias("_s")).select("_part", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_start"))
     inside = Window.partitionBy("_part").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    # A row for each range, and there are at most `ranges` of them.
+    # A row for each range.
     ranked = dealt.join(F.broadcast(starts), "_part")
     below = F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
     return ranked.select("_value", (below + (F.col("_n") + 1) / F.lit(2.0)).alias(name))
@@ -47,7 +48,10 @@ def average_ranks(df: DataFrame, value: str, name: str = "rank", ranges: int = 6
 def global_metrics(df: DataFrame, teacher: str = "teacher_score", student: str = "student_score_denorm", student_norm: str = "student_score_norm") -> DataFrame:
     """One row: size, means, population deviations, errors, Pearson's and Spearman's correlation; zeros without rows."""
     t, s, n = (F.col(c).cast("double") for c in (teacher, student, student_norm))
-    ranked = rank_average(rank_average(df.select(t.alias("_t"), s.alias("_s"), n.alias("_z")), "_t", "_rt"), "_s", "_rs")
+    rows = stored(df.select(t.alias("_t"), s.alias("_s"), n.alias("_z")), "metric-rows")
+    ranks = {c: average_ranks(rows, c, f"_r{c[1:]}").withColumnRenamed("_value", c) for c in ("_t", "_s")}
+    ranked = rows.join(ranks["_t"], rows["_t"].eqNullSafe(ranks["_t"]["_t"])).drop(ranks["_t"]["_t"])
+    ranked = ranked.join(ranks["_s"], ranked["_s"].eqNullSafe(ranks["_s"]["_s"])).drop(ranks["_s"]["_s"])
     t, s, z = F.col("_t"), F.col("_s"), F.col("_z")
     return ranked.agg(
         F.count(F.lit(1)).alias("n"),

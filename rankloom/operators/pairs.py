@@ -64,11 +64,13 @@ def ranked(rows: DataFrame, group: str = "global_prompt_index", score: str = "te
     return out.where(F.col("num_candidates_after_filter") >= min_candidates)
 
 
-def _all_pairs(candidates: DataFrame, group: str, row: Column) -> DataFrame:
-    """Every pair of better and worse; their number is the square of a group's, whatever makes them."""
+def _all_pairs(candidates: DataFrame, group: str, row: Column, score: str, min_margin: float) -> DataFrame:
+    """Every pair of better and worse that reaches the margin, from two explodes: a row is built for one better candidate at a time."""
     groups = candidates.groupBy(group).agg(F.array_sort(F.collect_list(row)).alias("_all")).where(F.size("_all") > 1)
-    later = F.transform(F.sequence(F.lit(0), F.size("_all") - 2), lambda i: F.transform(F.slice("_all", i + 2, F.size("_all")), lambda r: F.struct(F.get("_all", i).alias("c"), r.alias("r"))))
-    return groups.select(group, F.explode(F.flatten(later)).alias("_pair")).select(group, "_pair.c", "_pair.r")
+    better = groups.select(group, "_all", F.explode(F.sequence(F.lit(0), F.size("_all") - 2)).alias("_i"))
+    better = better.select(group, F.get("_all", F.col("_i")).alias("c"), F.slice("_all", F.col("_i") + 2, F.size("_all")).alias("_worse"))
+    margin = lambda r: F.col("c")[score] - r[score]
+    return better.select(group, "c", F.explode(F.filter("_worse", lambda r: (margin(r) > 0) & (margin(r) >= min_margin))).alias("r"))
 
 
 def paired(candidates: DataFrame, strategy: str = "best_vs_rest", min_margin: float = 0.0, max_pairs: int | None = None, group: str = "global_prompt_index", score: str = "teacher_score", item: str = "sample_id", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -80,7 +82,7 @@ def paired(candidates: DataFrame, strategy: str = "best_vs_rest", min_margin: fl
     row = F.struct("position", item, score, *carry)
     by_position = Window.partitionBy(group).orderBy("position")
     if strategy == "all_pairs":
-        pairs = _all_pairs(candidates, group, row)
+        pairs = _all_pairs(candidates, group, row, score, min_margin)
     else:
         chosen = F.lag(row).over(by_position) if strategy == "adjacent" else F.first(row).over(by_position)
         pairs = candidates.withColumn("c", chosen).where("position > 0")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
@@ -44,10 +45,18 @@ SOURCES = {
     )
 }
 
-#: Rows asked of each source, in the order of SOURCES.
+#: Rows asked of each source.
 QUOTAS = {
-    "trial": dict(zip(SOURCES, (15_000, 10_000, 8_000, 6_000, 3_000, 3_000, 2_000, 1_000, 2_000, 2_000, 0), strict=True)),
-    "prod_like": dict(zip(SOURCES, (30_000, 20_000, 15_000, 10_000, 6_000, 6_000, 4_000, 1_000, 4_000, 4_000, 0), strict=True)),
+    "trial": {
+        "magpie_ja": 15_000, "extraction_wiki_ja": 10_000, "wizard_math_code_ja": 8_000, "oasst2_ja": 6_000,
+        "oasst1_ja": 3_000, "synthetic_jp_en_coding_ja_only": 3_000, "dolly_ja": 2_000, "llm_jp_instructions_v1_train": 1_000,
+        "oasst2_en_to_ja": 2_000, "oasst1_en_to_ja": 2_000, "daring_anteater_en_to_ja": 0,
+    },
+    "prod_like": {
+        "magpie_ja": 30_000, "extraction_wiki_ja": 20_000, "wizard_math_code_ja": 15_000, "oasst2_ja": 10_000,
+        "oasst1_ja": 6_000, "synthetic_jp_en_coding_ja_only": 6_000, "dolly_ja": 4_000, "llm_jp_instructions_v1_train": 1_000,
+        "oasst2_en_to_ja": 4_000, "oasst1_en_to_ja": 4_000, "daring_anteater_en_to_ja": 0,
+    },
 }
 
 
@@ -79,21 +88,40 @@ def json_or_file(value: str) -> object:
 
 
 def places(source: Source, root: str) -> Sequence[str]:
-    """Folders in which a source may lie, the most specific first."""
-    tries = [(source.path, source.config, source.data_dir), (source.path, source.config), (source.path, source.data_dir), (source.path,)]
-    return list(dict.fromkeys("/".join([root.rstrip("/"), *(x for x in parts if x)]) for parts in tries))
+    """Folders in which a source may lie, the most specific first. A named subset, by config or data folder, is never replaced by the whole."""
+    subsets = [(source.config, source.data_dir), (source.config,), (source.data_dir,)] if source.config or source.data_dir else [()]
+    found = ["/".join([root.rstrip("/"), source.path, *(x for x in parts if x)]) for parts in subsets if all(parts) or not parts]
+    return list(dict.fromkeys(found))
+
+
+def _read(spark: SparkSession, place: str, split: str, file_format: str) -> DataFrame:
+    """The split in a folder of its own, or the part of a table by split, or, for train, a table without splits."""
+    last: AnalysisException | None = None
+    for path in (f"{place}/{split}", f"{place}/split={split}", place):
+        try:
+            found = spark.read.format(file_format).load(path)
+        except AnalysisException as e:
+            last = e
+            continue
+        if not found.columns:
+            continue
+        if path != place:
+            return found
+        if "split" in found.columns:
+            own = found.where(F.col("split") == split).drop("split")
+            if own.head(1):
+                return own
+        elif split == "train":
+            return found
+    raise FileNotFoundError(f"no split {split!r} in {place}") from last
 
 
 def read_source(spark: SparkSession, source: Source, root: str, file_format: str = "json") -> DataFrame:
-    """The source's split from the first place that can be read; an error names the last failure."""
+    """The source's split from the first place that has it; an error names the last failure."""
     last: Exception | None = None
     for place in places(source, root):
-        for path in (f"{place}/{source.split}", f"{place}/split={source.split}", place):
-            try:
-                found = spark.read.format(file_format).load(path)
-            except AnalysisException as e:
-                last = e
-                continue
-            if found.columns:
-                return found
+        try:
+            return _read(spark, place, source.split, file_format)
+        except FileNotFoundError as e:
+            last = e
     raise FileNotFoundError(f"source {source.alias} can't be read below {root}: {last}")

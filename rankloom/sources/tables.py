@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankloom.functions import text as X
+
 
 def require(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """df, if it has the columns; an error lists those that it lacks."""
@@ -45,11 +47,17 @@ def committed(log: DataFrame, key: str = "part_id", order: str = "seq") -> DataF
     return last.select(key, *(F.col(f"_last.{c}").alias(c) for c in columns))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_committed(spark: SparkSession, log: DataFrame, path: str = "path") -> DataFrame:
-    """The part files that a commit log names and no others; the log has a row for each part."""
+    """The part files that a commit log names and no others, without those that are gone; the log has a row for each part."""
     files = [r[0] for r in committed(log).select(path).orderBy(path).toLocalIterator()]
+    files = [x for x in files if exists(spark, x)]
     if not files:
-        raise ValueError("nothing is committed")
+        raise ValueError("nothing that is committed exists")
     return spark.read.parquet(*files)
 
 
@@ -63,7 +71,7 @@ def write_table(df: DataFrame, path: str, split: str | None = None, rows_per_fil
 
 def _checked(line: Column, parsed: Column) -> Column:
     """Not a JSON object: an error, with the line."""
-    return F.when(parsed.isNull() | ~F.startswith(F.ltrim(line), F.lit("{")), F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring(line, 1, 200))).cast(T.StringType())).otherwise(line)
+    return F.when(parsed.isNull() | ~F.startswith(X.strip(line), F.lit("{")), F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring(line, 1, 200))).cast(T.StringType())).otherwise(line)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -72,13 +80,16 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 
 
 def parse_jsonl(lines: DataFrame, schema: T.StructType | str, column: str = "value") -> DataFrame:
-    found = lines.select(F.col(column).alias("_line")).where(F.trim("_line") != "")
+    found = lines.select(F.col(column).alias("_line")).where(X.strip(F.col(column)) != "")
     found = found.withColumn("_line", _checked(F.col("_line"), F.try_parse_json("_line")))
     return found.withColumn("_record", F.from_json("_line", schema)).select("_record.*", "_line")
 
 
 def with_fields(line: Column, **added: Column) -> Column:
-    """A JSON object's text with fields added at its end; its own fields stay as they are."""
+    """A JSON object's text with fields added at its end in place of its own of those names; its other fields stay."""
+    others = F.map_filter(F.from_json(line, "map<string,variant>"), lambda k, _: ~k.isin(*added))
+    has = F.arrays_overlap(F.coalesce(F.json_object_keys(line), F.array().cast("array<string>")), F.array(*map(F.lit, added)))
+    line = F.when(has, F.to_json(others)).otherwise(line)
     more = F.to_json(F.struct(*(v.alias(k) for k, v in added.items())), {"ignoreNullFields": "false"})
     body = F.regexp_replace(line, r"\s*\}\s*\z", "")
     return F.concat(body, F.when(F.regexp_like(body, F.lit(r"\{\s*\z")), F.lit("")).otherwise(F.lit(",")), F.substring(more, 2, 2**31 - 1))

@@ -42,6 +42,31 @@ def test_context(spark):
     assert got == ["do it now", "do\n\n### 追加情報\nthis", "c", "i", ""]
 
 
+def test_strip_is_linear(spark):
+    import time
+
+    rows = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), 1_000_000), F.lit("b")).alias("x"))
+    rows.select(F.length(X.strip(F.col("x")))).first()
+    began = time.time()
+    assert rows.select(F.length(X.strip(F.col("x")))).first()[0] == 1_000_002 and time.time() - began < 2
+
+
+def test_contents_may_be_lists(spark):
+    schema = "messages array<struct<role:string,content:array<string>,value:string,text:long>>"
+    turns = [("user", [" a", None, "b "], "v", 5), ("gpt", [], "v ", 0), ("user", None, "", 7), ("user", [None], "v", 1), ("system", None, None, 0)]
+    df = spark.createDataFrame([(turns,)], schema)
+    assert as_turns(df.select(M.from_list(df, "messages")).first()[0]) == [("user", "a\nb"), ("assistant", "v"), ("user", "7")]
+
+
+def test_example_keys(spark):
+    chat_type = "messages array<struct<role:string,content:string>>"
+    rows = [("", None, "", None, None), ("", "s", "t", None, None), (None, "", None, None, None), (None, None, None, [("user", "q ")], " a "), (None, None, None, None, "a")]
+    df = spark.createDataFrame(rows, f"prompt_hash string, sample_id string, text string, {chat_type}, response string")
+    sha = lambda x: hashlib.sha1(x.encode()).hexdigest()
+    want = [sha(""), "s", sha("\n<assistant>\n"), sha("<user>\nq\n<assistant>\na"), sha("\n<assistant>\na")]
+    assert [r[0] for r in df.select(ids.example_key(df)).collect()] == want
+
+
 def test_list_text_and_truthiness(spark):
     assert one(spark, [" a", None, "b "], X.clean_lines, "array<string>") == "a\nb"
     rows = spark.createDataFrame([("", "x"), (None, ""), ("a", "b")], "p string, q string")
@@ -64,7 +89,8 @@ def as_turns(value):
         ([("assistant", "a")], None),
         ([("system", "s")], None),
         ([("user", "  ")], None),
-        ([("tool", "x"), ("user", "q")], [("user", "q")]),
+        ([("tool", "x"), ("user", "q"), ("gpt", "a")], [("user", "x"), ("user", "q")]),
+        ([(" Human", "x "), ("GPT", "a"), (None, "y"), ("sys", "s")], [("user", "x"), ("assistant", "a"), ("user", "y")]),
         ([], None),
     ],
 )

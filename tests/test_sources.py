@@ -29,6 +29,36 @@ def test_sources_fall_back_to_the_next_place(spark, tmp_path):
         catalog.read_source(spark, catalog.Source("gone", "gone"), str(tmp_path))
 
 
+def test_sources_give_no_other_subset_or_split(spark, tmp_path):
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s/x.json").write_text('{"question": "default subset"}\n')
+    (tmp_path / "s/split=validation").mkdir()
+    (tmp_path / "s/split=validation/x.json").write_text('{"question": "held out"}\n')
+    read = lambda **more: catalog.read_source(spark, catalog.Source("s", "s", **more), str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        read(config="v1")
+    assert read(split="validation").first().question == "held out"
+    with pytest.raises(FileNotFoundError):
+        read(split="test")
+    (tmp_path / "p/split=validation").mkdir(parents=True)
+    (tmp_path / "p/split=validation/x.json").write_text('{"question": "held out"}\n')
+    with pytest.raises(FileNotFoundError):
+        catalog.read_source(spark, catalog.Source("p", "p"), str(tmp_path))
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q/x.json").write_text('{"question": "q"}\n')
+    assert catalog.read_source(spark, catalog.Source("q", "q"), str(tmp_path)).first().question == "q"
+
+
+def test_json_lines_with_any_blanks_and_scored_before(spark):
+    lines = ["\t", '\t {"a": 1, "score": 5, "b": {"score": 2, "x": [1, "}"]}} \r', "\u3000", '{"a": 2}', '{ }']
+    df = tables.parse_jsonl(spark.createDataFrame([(x,) for x in lines], "value string"), "a long")
+    out = [json.loads(r[0]) for r in df.select(tables.with_fields(F.col("_line"), score=F.lit(9), more=F.lit(None).cast("string"))).collect()]
+    assert out == [{"a": 1, "b": {"score": 2, "x": [1, "}"]}, "score": 9, "more": None}, {"a": 2, "score": 9, "more": None}, {"score": 9, "more": None}]
+    for bad in ("[1]", "x", "\t[1]"):
+        with pytest.raises(Exception, match="not a JSON object"):
+            tables.parse_jsonl(spark.createDataFrame([(bad,)], "value string"), "a long").collect()
+
+
 def test_read_split_finds_each_of_many(spark, tmp_path):
     path = f"{tmp_path}/many"
     spark.range(130).selectExpr("id AS x", "cast(id as string) AS split").write.parquet(path)
