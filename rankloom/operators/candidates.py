@@ -7,7 +7,7 @@ Arrow batches and are made once in each worker by the factory that is passed.
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -48,18 +48,23 @@ class Generation:
             raise ValueError("without sampling there is one candidate")
 
 
+def hashed(text: str) -> int:
+    """The first 32 bits of a text's hash."""
+    return int(hashlib.sha1(text.encode()).hexdigest()[:8], 16)
+
+
 def stub_generator() -> Generator:
     """Answers that depend on the prompt and the seed alone; for tests and dry runs."""
 
     def answer(requests: pd.DataFrame) -> pd.DataFrame:
-        said = [f"{m} answers {zlib.crc32(x.encode()) % 9973} in way {s % 7}" for m, x, s in zip(requests["generator_model"], requests["messages"], requests["seed"], strict=True)]
+        said = [f"{m} answers {hashed(x) % 9973} in way {s % 7}" for m, x, s in zip(requests["generator_model"], requests["messages"], requests["seed"], strict=True)]
         return pd.DataFrame({"response": said, "response_token_len": [len(x.split()) for x in said]})
 
     return answer
 
 
 def stub_scorer() -> Scorer:
-    return lambda texts: [zlib.crc32(t.encode()) / 2**32 for t in texts]
+    return lambda texts: [hashed(t) / 2**32 for t in texts]
 
 
 def fan_out(prompts: DataFrame, g: Generation, index: str = "global_prompt_index") -> DataFrame:
@@ -67,7 +72,7 @@ def fan_out(prompts: DataFrame, g: Generation, index: str = "global_prompt_index
     models = F.array(*(F.struct(F.lit(i).cast("long").alias("generator_model_index"), F.lit(m).alias("generator_model")) for i, m in enumerate(g.models)))
     rows = prompts.withColumn("_model", F.explode(models)).withColumn("candidate_index", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(g.candidates - 1).cast("long"))))
     rows = rows.select(*prompts.columns, "_model.*", "candidate_index")
-    return rows.withColumn("generator_key", X.file_key(F.col("generator_model"))).withColumn("generation_seed", F.abs(F.xxhash64(F.lit(g.seed), ids.prompt_hash(F.col("messages")), "generator_model", "candidate_index") % F.lit(2**31)))
+    return rows.withColumn("generator_key", X.file_key(F.col("generator_model"))).withColumn("generation_seed", ids.bucket(F.concat_ws("|", F.lit(g.seed), ids.prompt_hash(F.col("messages")), "generator_model", "candidate_index"), 2**31))
 
 
 def generate(requests: DataFrame, make: Callable[[], Generator] = stub_generator) -> DataFrame:

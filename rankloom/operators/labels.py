@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rankloom.functions import ids
 from rankloom.functions import messages as M
 from rankloom.functions import stats as S
+from rankloom.operators.candidates import hashed
 
 #: A tokenizer takes texts and the longest length, and gives the ids of each.
 Tokenizer = Callable[[list[str], int], list[list[int]]]
@@ -62,9 +63,7 @@ def sampled(df: DataFrame, n: int | None, seed: int, *keys: str) -> DataFrame:
 
 def whitespace_tokens(texts: list[str], longest: int) -> list[list[int]]:
     """A stand-in tokenizer: a stable id for each word."""
-    import zlib
-
-    return [[zlib.crc32(w.encode()) % 32_000 for w in t.split()[:longest]] for t in texts]
+    return [[hashed(w) % 32_000 for w in t.split()[:longest]] for t in texts]
 
 
 def tokenized(df: DataFrame, stats: ScoreStats, score: str = "teacher_score", tokenizer: Tokenizer = whitespace_tokens, longest: int = 4096, keep: bool = False) -> DataFrame:

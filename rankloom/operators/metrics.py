@@ -133,6 +133,18 @@ def evaluate(df: DataFrame, group: str, teacher: str = "teacher_score", student:
     return global_metrics(df, teacher, student, student_norm).crossJoin(group_metrics(df, group, teacher, student, order, margin))
 
 
+def recheck(df: DataFrame, n: int, position: str, teacher: str = "teacher_score", student: str = "student_score_denorm", group: str | None = None) -> DataFrame:
+    """Metrics of the first n rows by position, in one row, with the sizes of the table and of the subset; an empty table fails."""
+    if n < 1 or not df.head(1):
+        raise ValueError("there are no rows to check")
+    first = df.orderBy(position).limit(n)
+    s, t = F.col(student), F.col(teacher)
+    groups = [F.count_distinct(group).alias("num_prompt_groups_checked")] if group else []
+    found = first.agg(F.count(F.lit(1)).alias("num_rows_checked"), S.mae(s, t).alias("mae"), S.mse(s, t).alias("mse"), S.pearson(s, t).alias("pearson"), *groups)
+    # Both sides have one row.
+    return df.agg(F.count(F.lit(1)).alias("num_rows_total")).crossJoin(found)
+
+
 #: Columns of a light predictions table, where they exist.
 LIGHT_COLUMNS = ("sample_id", "prompt_hash", "generator_model", "candidate_index")
 

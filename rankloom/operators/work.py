@@ -5,18 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """df written below spark.checkpoint.dir and read again; without that setting, below a folder of a local session."""
-    spark = df.sparkSession
+def new_path(spark: SparkSession, what: str) -> str:
+    """A new place below spark.checkpoint.dir; without that setting, below a folder of a local session."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="rankloom-")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/rankloom-{what}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/rankloom-{what}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """df written to a new place and read again."""
+    spark = df.sparkSession
+    path = new_path(spark, what)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

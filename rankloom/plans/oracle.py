@@ -32,6 +32,10 @@ def _bucket(key: str, base: int) -> str:
     return f"(('0x' || substr(sha1({key}), 1, 8))::UBIGINT % {base})::BIGINT"
 
 
+def _hash32(x: str) -> str:
+    return f"('0x' || substr(sha1({x}), 1, 8))::UBIGINT"
+
+
 def _candidates(score: str = "l_extendedprice", dedupe: bool = True) -> str:
     copy = "row_number() OVER (PARTITION BY g, response ORDER BY score DESC, sid)" if dedupe else "1"
     return f"""
@@ -190,8 +194,35 @@ SELECT doc_id, CASE WHEN i <> '' AND c <> '' THEN CASE WHEN contains(i, c) THEN
     "previews": "SELECT doc_id, substr(replace(text, chr(10), ' '), 1, 80) AS preview FROM documents",
     "candidate_fanout": "SELECT c AS global_prompt_index, m[1] AS generator_model, m[2] AS generator_key, m[3]::BIGINT AS generator_model_index, i::BIGINT AS candidate_index FROM (SELECT DISTINCT conv_id AS c FROM conversations), (VALUES (['org/model a', 'org__model_a', '0']), (['org/model-b', 'org__model-b', '1'])) t(m), range(3) r(i)",
     "light_predictions": f"WITH {_SCORES} SELECT sid AS sample_id, g AS global_prompt_index, round(t, 4) AS teacher_score, round(z::FLOAT::DOUBLE, 4) AS student_score_norm, round(s, 4) AS student_score_denorm FROM z",
-    "hard_prompt_select": _HARD + " SELECT g AS group_key, candidates, top1 AS top1_match, pairs, round(acc, 6) AS pairwise_accuracy, round(spearman, 6) AS prompt_spearman, round(score, 6) AS hard_prompt_score, place AS hard_prompt_rank, place IS NOT NULL AS selected, reason AS selection_reason FROM o WHERE candidates > 1",
+    "hard_prompt_select": _HARD + " SELECT g AS group_key, candidates, top1 AS top1_match, pairs, round(acc, 6) AS pairwise_accuracy, round(spearman, 6) AS prompt_spearman, round(score, 6) AS hard_prompt_score, place AS hard_prompt_rank, place IS NOT NULL AS selected, reason AS selection_reason, round(off, 6) AS mean_abs_error FROM o JOIN (SELECT g, avg(abs(s - t)) AS off FROM z GROUP BY g) USING (g) WHERE candidates > 1",
     "hard_prompt_rows": _HARD
     + """ SELECT g AS global_prompt_index, sid AS sample_id, round(t, 4) AS teacher_score, round(s, 4) AS student_score_denorm, round(score, 4) AS hard_prompt_score, place AS hard_prompt_rank, reason AS hard_selection_reason,
   round(acc, 4) AS prompt_pairwise_accuracy, round(spearman, 4) AS prompt_spearman, round(abs(s - t), 4) AS score_abs_error_denorm FROM z JOIN o USING (g) WHERE place IS NOT NULL""",
+    "stub_score": f"""WITH c AS (SELECT conv_id, {_JSON} AS canon, '[' || string_agg('{{"role":"' || role || '","content":' || to_json(text)::VARCHAR || '}}', ',' ORDER BY turn) || ']' AS asked, string_agg('<|' || role || '|>' || chr(10) || {_strip('text')} || chr(10), '' ORDER BY turn) AS said FROM conversations GROUP BY 1),
+f AS (SELECT conv_id, sha1(canon) AS prompt, asked, said, m, i, ({_hash32("'42|' || sha1(canon) || '|' || m || '|' || i")} % 2147483648)::BIGINT AS seed FROM c, (VALUES ('a'), ('b')) t(m), range(2) r(i)),
+a AS (SELECT *, m || ' answers ' || ({_hash32('asked')} % 9973) || ' in way ' || (seed % 7) AS response FROM f)
+SELECT conv_id AS global_prompt_index, m AS generator_model, i::BIGINT AS candidate_index, seed AS generation_seed, response, 6::BIGINT AS response_token_len, length(response)::BIGINT AS response_char_len, sha1(prompt || '|' || m || '|' || i || '|' || sha1(response)) AS sample_id,
+  round({_hash32("said || '<|assistant|>' || chr(10) || response || chr(10)")}::DOUBLE / 4294967296.0, 9) AS teacher_score FROM a""",
+    "tokenized_labels": f"""WITH t AS (SELECT ['<|user|>', 'order', l_orderkey::VARCHAR, '<|assistant|>', 'r' || l_partkey] AS words, l_extendedprice AS raw FROM lineitem),
+u AS (SELECT array_to_string(list_transform(words, lambda w: ({_hash32('w')} % 32000)::VARCHAR), ' ') AS input_ids, '11111' AS attention_mask, round((raw - {MEAN}) / {STD}, 9) AS labels, raw AS teacher_score_raw, 5::BIGINT AS length FROM t)
+SELECT *, count(*) AS n FROM u GROUP BY ALL""",
+    "scored_records": f"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '<|user|>' || chr(10) || 'about ' || lang || chr(10) || '<|assistant|>' || chr(10) || source || chr(10) ELSE source END AS text FROM documents),
+z AS (SELECT doc_id, ({_hash32('text')}::DOUBLE / 4294967296.0)::FLOAT::DOUBLE AS z FROM r) SELECT doc_id, round(z, 4) AS student_score_norm, round(z * {STD} + {MEAN}, 4) AS student_score_denorm FROM z""",
+    "example_chat_keys": f"SELECT conv_id, sha1(string_agg('<' || role || '>' || chr(10) || {_strip('text')}, chr(10) ORDER BY turn) || chr(10) || '<assistant>' || chr(10) || CASE WHEN conv_id % 2 = 0 THEN 'yes' ELSE '' END) AS example_key FROM conversations GROUP BY 1",
+    "other_spellings": f"""WITH t AS ({_TURNS}),
+x AS (SELECT conv_id, coalesce(string_agg(role || ': ' || {_strip("'  ' || text || chr(10) || 'end'")}, chr(10) ORDER BY turn) FILTER (role <> 'system'), 'none') AS extracted FROM t GROUP BY 1),
+r AS (SELECT conv_id, turn, CASE WHEN role = 'system' THEN 'user' ELSE role END AS role, {_strip('text')} AS said FROM conversations WHERE {_strip('text')} <> ''),
+k AS (SELECT *, max(turn) FILTER (role = 'user') OVER (PARTITION BY conv_id) AS last FROM r)
+SELECT conv_id, extracted, coalesce(said, 'none') AS trimmed FROM x LEFT JOIN (SELECT conv_id, string_agg(role || ': ' || said, chr(10) ORDER BY turn) AS said FROM k WHERE turn <= last GROUP BY 1) USING (conv_id)""",
+    "empty_responses": """WITH c AS (SELECT l_orderkey AS g, l_linenumber AS m, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS sid, l_extendedprice AS score, count(*) OVER (PARTITION BY l_orderkey) AS raw FROM lineitem),
+k AS (SELECT sid, (row_number() OVER (PARTITION BY g ORDER BY score DESC, sid) - 1)::INT AS position, raw AS num_candidates_raw, count(*) OVER (PARTITION BY g) AS num_candidates_after_filter FROM c WHERE m % 3 <> 0)
+SELECT sid AS sample_id, * EXCLUDE (sid) FROM k WHERE num_candidates_after_filter >= 3""",
+    "candidate_row_violations": """WITH v AS (SELECT l_orderkey AS global_prompt_index, concat_ws(',', CASE WHEN l_linenumber = 4 THEN 'no_response' END, CASE WHEN l_linenumber = 2 THEN 'bad_score' END, CASE WHEN l_linenumber = 3 THEN 'bad_hash' END, CASE WHEN l_linenumber < 2 THEN 'negative_index' END) AS violations FROM lineitem)
+SELECT *, count(*) AS n FROM v WHERE violations <> '' GROUP BY ALL""",
+    "subset_recheck": f"""WITH {_SCORES}, f AS (SELECT * FROM z ORDER BY lpad(g::VARCHAR, 9, '0') || '-' || sid LIMIT 1000)
+SELECT (SELECT count(*) FROM z) AS num_rows_total, count(*) AS num_rows_checked, round(avg(abs(s - t)), 4) AS mae, round(avg((s - t) ** 2), 4) AS mse, round(corr(s, t), 4) AS pearson, count(DISTINCT g) AS num_prompt_groups_checked FROM f""",
+    "split_table": f"SELECT o_orderkey, o_totalprice, 'validation' AS split FROM orders WHERE {_bucket('o_orderkey::VARCHAR', 100)} < 20",
+    "finalised_parts": "SELECT o_orderkey, o_custkey % 4 AS part, CASE WHEN o_orderkey % 10 = 0 THEN 'validation' ELSE 'train' END AS split, 4::BIGINT AS resume_at FROM orders WHERE o_custkey % 4 < 3",
+    "stream_appended": "SELECT event_id, user_id, event_type, upper(event_type) AS kind FROM events",
+    "stream_first_seen": "SELECT DISTINCT user_id, event_type FROM events",
 }

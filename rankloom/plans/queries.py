@@ -15,10 +15,11 @@ from rankloom.functions import messages as M
 from rankloom.functions import stats as S
 from rankloom.functions import text as X
 from rankloom.operators import candidates as C
-from rankloom.operators import checks, labels, metrics, ordering, pairs, pool
+from rankloom.operators import checks, labels, metrics, ordering, pairs, pool, work
 from rankloom.operators.hard_prompts import hard_prompts, hard_training_rows
 from rankloom.sources import state, tables
 from rankloom.sources.catalog import Source
+from rankloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -374,12 +375,103 @@ def candidate_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stub_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompts = _chats(spark, sf_dir).select("messages", F.col("conv_id").alias("global_prompt_index"))
-    return C.build_candidates(prompts, C.Generation(models=("a", "b"), candidates=2)).drop("messages")
+    made = C.build_candidates(prompts, C.Generation(models=("a", "b"), candidates=2))
+    return made.select("global_prompt_index", "generator_model", "candidate_index", "generation_seed", "response", "response_token_len", "response_char_len", "sample_id", F.round("teacher_score", 9).alias("teacher_score"))
 
 
 def tokenized_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _candidates(spark, sf_dir)
-    return labels.tokenized(rows, labels.ScoreStats("train_zscore", MEAN, STD))
+    made = labels.tokenized(_candidates(spark, sf_dir), labels.ScoreStats("train_zscore", MEAN, STD))
+    rows = made.select(F.array_join("input_ids", " ").alias("input_ids"), F.array_join("attention_mask", "").alias("attention_mask"), F.round("labels", 9).alias("labels"), "teacher_score_raw", "length")
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def scored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a text, or a prompt and a response, scored by the stub."""
+    docs = _read(spark, sf_dir, "documents")
+    records = docs.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(" ")).otherwise(F.col("source")).alias("text"), F.concat(F.lit(" about "), "lang").alias("prompt"), F.col("source").alias("response"))
+    return _rounded(C.score_records(records, ("train_zscore", MEAN, STD)).select("doc_id", "student_score_norm", "student_score_denorm"), 4)
+
+
+def example_chat_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of examples that have a chat and a response alone."""
+    chats = _chats(spark, sf_dir).select("conv_id", "messages", F.when(F.col("conv_id") % 2 == 0, F.lit(" yes ")).alias("response"))
+    return chats.select("conv_id", ids.example_key(chats).alias("example_key"))
+
+
+def other_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt rows of chats with roles of unknown spelling, contents in lists and a chat under a later name."""
+    chats = _chats(spark, sf_dir)
+    other = lambda r: F.when(r == "user", "PROMPTER ").when(r == "assistant", "bot").otherwise("tool")
+    lists = F.transform("messages", lambda m: F.struct(other(m["role"]).alias("speaker"), F.array(F.concat(F.lit("  "), m["content"]), F.lit(None).cast("string"), F.lit("end\t")).alias("content")))
+    raw = chats.select("conv_id", lists.alias("dialogue"))
+    trimmed = M.trim_to_prompt(F.transform("messages", lambda m: M.message(F.concat(m["role"], F.when(m["role"] == "system", "?").otherwise("")), m["content"])))
+    said = lambda m: F.coalesce(_said(m), F.lit("none"))
+    kept = chats.select("conv_id", said(trimmed).alias("trimmed"))
+    return raw.select("conv_id", said(M.extract(raw)).alias("extracted")).join(kept, "conv_id")
+
+
+def empty_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates left after blank responses, copies and small groups are dropped."""
+    rows = _candidates(spark, sf_dir).withColumn("response", F.when(F.col("generator_model_index") % 3 == 0, F.lit(" \t")).otherwise(F.col("response")))
+    left = pairs.ranked(rows, dedupe=None, min_candidates=3)
+    return left.select("sample_id", "position", "num_candidates_raw", "num_candidates_after_filter")
+
+
+def candidate_row_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _candidates(spark, sf_dir).withColumn("sample_id", ids.sha1(F.col("sample_id")))
+    spoilt = rows.withColumn("teacher_score", F.when(F.col("generator_model_index") == 2, F.lit(float("nan"))).otherwise(F.col("teacher_score"))).withColumn("response_hash", F.when(F.col("generator_model_index") == 3, "short").otherwise(F.col("response_hash")))
+    spoilt = spoilt.withColumn("candidate_index", F.col("generator_model_index") - 2).withColumn("response", F.when(F.col("generator_model_index") != 4, F.col("response")))
+    return ordering.value_counts(checks.candidate_violations(spoilt).select(F.array_join("violations", ",").alias("violations"), "global_prompt_index"), "global_prompt_index", "violations")
+
+
+def subset_recheck(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _scores(spark, sf_dir).withColumn("position", F.concat_ws("-", F.lpad(F.col("global_prompt_index").cast("string"), 9, "0"), "sample_id"))
+    return _rounded(metrics.recheck(rows, 1000, "position", group="global_prompt_index"), 4)
+
+
+def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written by split and one split read back."""
+    rows = _read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", ids.split_by_bucket(F.col("o_orderkey").cast("string"), 0.2, 100).alias("split"))
+    path = work.new_path(spark, "orders")
+    tables.write_table(rows, path, "split", rows_per_file=5000)
+    return tables.read_split(spark, path, "validation", ["o_orderkey"]).withColumn("split", F.col("split").cast("string"))
+
+
+def finalised_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts written one by one with a commit log, one of them replaced and one gone, compacted by split."""
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", F.pmod("o_custkey", F.lit(4)).alias("part"), F.when(F.col("o_orderkey") % 10 == 0, "validation").otherwise("train").alias("split"))
+    root, log = work.new_path(spark, "parts"), work.new_path(spark, "log")
+    schema = "part_id long, seq long, path string, end long"
+    for seq, part in enumerate((0, 1, 2, 1)):
+        path = f"{root}/{seq}"
+        orders.where((F.col("part") == part) & ((F.col("o_orderkey") % 2 == 0) | F.lit(seq != 1))).write.parquet(path)
+        state.append_log(spark.createDataFrame([(part, seq, path, part + 1)], schema), log)
+    state.append_log(spark.createDataFrame([(3, 9, f"{root}/gone", 4)], schema), log)
+    entries = state.read_log(spark, log, schema)
+    done = state.finalise(spark, entries, work.new_path(spark, "final"))
+    return done.select("o_orderkey", "part", F.col("split").cast("string").alias("split"), F.lit(state.resume_at(entries)).cast("long").alias("resume_at"))
+
+
+def stream_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream of files, appended with a column more, in two runs of one checkpoint."""
+    source, out, at = (work.new_path(spark, x) for x in ("stream", "appended", "progress"))
+    events = _read(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    for half in (0, 1):
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(source)
+        stream = ingest.file_stream(spark, source, events.schema)
+        ingest.append(stream, out, at, lambda b: b.withColumn("kind", F.upper("event_type"))).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
+def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users and kinds of a stream of events, each once over two runs."""
+    source, out, at = (work.new_path(spark, x) for x in ("stream", "first", "progress"))
+    events = _read(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    for half in (0, 1):
+        events.where(F.col("event_id") % 2 == half).select("user_id", "event_type").write.mode("append").parquet(source)
+        stream = ingest.file_stream(spark, source, spark.read.parquet(source).schema)
+        ingest.append(ingest.first_seen(stream, "user_id", "event_type"), out, at).awaitTermination()
+    return spark.read.parquet(out).select("user_id", "event_type")
 
 
 def light_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,7 +479,7 @@ def light_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hard_prompt_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(hard_prompts(_scores(spark, sf_dir), *_EVALUATED, n=150)).where("candidates > 1").drop("mean_abs_error")
+    return _rounded(hard_prompts(_scores(spark, sf_dir), *_EVALUATED, n=150)).where("candidates > 1")
 
 
 def hard_prompt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,8 +488,6 @@ def hard_prompt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(hard_training_rows(rows, hard, "global_prompt_index", "teacher_score", "student_score_denorm").drop("student_score_norm"), 4)
 
 
-
-
 def queries() -> dict[str, Query]:
     """The public functions of this module, in the order of definition."""
     return {name: f for name, f in globals().items() if not name.startswith("_") and name != "queries" and getattr(f, "__module__", "") == __name__}

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankloom.sources.tables import write_summary
+from rankloom.sources.tables import committed, exists, write_summary, write_table
 
 #: Settings that a resumed run may not change.
 CANDIDATE_KEYS = (
@@ -68,6 +68,38 @@ def guard_output(spark: SparkSession, path: str, overwrite: bool = False, allowe
         raise FileExistsError(f"{path} exists and holds {sorted(found)[:5]}")
 
 
+def append_log(entries: DataFrame, path: str) -> None:
+    """Add entries to a commit log or manifest, a folder of Parquet files; each call is committed as a whole."""
+    entries.write.mode("append").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The entries of a log; none where nothing was written."""
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def valid_parts(spark: SparkSession, log: DataFrame, part: str = "part_id", path: str = "path", order: str = "seq") -> DataFrame:
+    """The last entry of each part whose file exists, by part; a log has a row for each part, whose paths are listed."""
+    last = committed(log, part, order)
+    there = [(x,) for (x,) in last.select(path).distinct().toLocalIterator() if exists(spark, x)]
+    return last.join(spark.createDataFrame(there, f"`{path}` string"), path, "left_semi").orderBy(part)
+
+
+def resume_at(log: DataFrame, end: str = "end") -> int:
+    """Where a run goes on: the largest end of its log, or 0."""
+    return int(log.agg(F.max(end)).first()[0] or 0)
+
+
+def finalise(spark: SparkSession, log: DataFrame, out: str, split: str = "split", overwrite: bool = False) -> DataFrame:
+    """Only compact: the parts that a log names and that exist become one table by split, which is returned."""
+    files = [r["path"] for r in valid_parts(spark, log).toLocalIterator()]
+    if not files:
+        raise ValueError("nothing that is committed exists")
+    guard_output(spark, out, overwrite)
+    write_table(spark.read.parquet(*files), out, split, overwrite=overwrite)
+    return spark.read.parquet(out)
+
+
 def contiguous_prefix(parts: DataFrame, start: str = "start", end: str = "end", by: Iterable[str] = ()) -> DataFrame:
     """The parts that follow on from 0 without a gap, for each `by`; the rest would be done again."""
     w = Window.partitionBy(*by).orderBy(start, end)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import asdict, is_dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,6 +127,33 @@ def summary(df: DataFrame, by: Sequence[str] = ("split",)) -> dict:
     return {"total_rows": sum(r["rows"] for r in counts), "columns": [c for c in df.columns if c not in by], "groups": [r.asDict() for r in counts]}
 
 
+def stamp() -> str:
+    """Now, in UTC, to the second."""
+    return datetime.now(UTC).isoformat(timespec="seconds")
+
+
+def pool_summary(stats: DataFrame, requested: Mapping[str, int], specs: Mapping[str, object], **settings: object) -> dict:
+    """What a pool was built from: settings, quotas, the counts of each source (a row each) and how sources were declared."""
+    sources = [r.asDict() for r in stats.orderBy(stats.columns[0]).collect()]
+    return {**settings, "counts": dict(requested), "total_rows": sum(r["collected"] for r in sources), "sources": sources, "source_specs": {k: asdict(v) if is_dataclass(v) else v for k, v in specs.items()}}
+
+
+def candidate_summary(rows: DataFrame, completion: DataFrame, part_files: int, **settings: object) -> dict:
+    """What a candidate table holds, when it was finished and how far each generator has come (a row each)."""
+    return {"finalized_at": stamp(), **settings, "total_rows": rows.count(), "total_part_files": part_files, "generator_completion": [r.asDict() for r in completion.orderBy(completion.columns[0]).collect()], "columns": rows.columns}
+
+
+def training_summary(rows: DataFrame, stats: object, split: str = "split", **settings: object) -> dict:
+    """Rows by split of a tokenised table, with the score statistics that its labels rest on."""
+    counts = rows.groupBy(split).agg(F.count(F.lit(1)).alias("n")).collect()
+    return {**settings, "score_normalization": asdict(stats) if is_dataclass(stats) else stats, "splits": {r[split]: r["n"] for r in sorted(counts, key=lambda r: str(r[split]))}}
+
+
+def read_summary(spark: SparkSession, path: str) -> dict:
+    """The object that write_summary wrote."""
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
 def write_summary(spark: SparkSession, value: dict, path: str) -> None:
     """One JSON object in a folder of one file, through Spark's own file systems."""
     text = json.dumps(value, ensure_ascii=False, default=str)

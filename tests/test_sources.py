@@ -153,3 +153,35 @@ def test_streams_keep_the_first_of_a_key(spark, tmp_path):
     query = ingest.first_seen(ingest.file_stream(spark, source, df.schema), "k").writeStream.format("memory").queryName("firsts").trigger(availableNow=True).start()
     query.awaitTermination()
     assert {r.k for r in spark.table("firsts").collect()} == {"a", "b"} and spark.table("firsts").count() == 2
+
+
+def test_summaries(spark, tmp_path):
+    stats = spark.createDataFrame([("a", 3, 2), ("b", 4, 4)], "source_alias string, requested long, collected long")
+    made = tables.pool_summary(stats, {"a": 3, "b": 4}, {"a": catalog.SOURCES["dolly_ja"]}, seed=42)
+    tables.write_summary(spark, made, f"{tmp_path}/pool")
+    got = tables.read_summary(spark, f"{tmp_path}/pool")
+    assert got["total_rows"] == 6 and got["sources"][1]["collected"] == 4 and got["source_specs"]["a"]["path"] == "dolly_ja" and got["seed"] == 42
+    done = spark.createDataFrame([("g", 4, True)], "generator string, committed_end long, complete boolean")
+    made = tables.candidate_summary(spark.range(5), done, 2, world_size=1)
+    assert made["total_rows"] == 5 and made["columns"] == ["id"] and made["generator_completion"][0]["complete"] and made["finalized_at"].endswith("+00:00")
+    from rankloom.operators.labels import ScoreStats
+
+    rows = spark.createDataFrame([("train",), ("train",), ("validation",)], "split string")
+    made = tables.training_summary(rows, ScoreStats("train_zscore", 1.0, 2.0))
+    assert made["splits"] == {"train": 2, "validation": 1} and made["score_normalization"]["std"] == 2.0
+
+
+def test_logs_resume_and_finalise(spark, tmp_path):
+    schema = "part_id long, seq long, path string, end long"
+    log = f"{tmp_path}/log"
+    assert state.resume_at(state.read_log(spark, log, schema)) == 0
+    with pytest.raises(ValueError, match="committed"):
+        state.finalise(spark, state.read_log(spark, log, schema), f"{tmp_path}/out")
+    spark.createDataFrame([(1, "train")], "x long, split string").write.parquet(f"{tmp_path}/p1")
+    state.append_log(spark.createDataFrame([(1, 1, f"{tmp_path}/p1", 8)], schema), log)
+    state.append_log(spark.createDataFrame([(2, 2, f"{tmp_path}/gone", 16)], schema), log)
+    entries = state.read_log(spark, log, schema)
+    assert state.resume_at(entries) == 16 and [r.part_id for r in state.valid_parts(spark, entries).collect()] == [1]
+    assert state.finalise(spark, entries, f"{tmp_path}/out").count() == 1
+    with pytest.raises(FileExistsError):
+        state.finalise(spark, entries, f"{tmp_path}/out")
