@@ -6,16 +6,16 @@ template, whose other positions become variable. A template that recurs in `min_
 all documents. Texts that near-deduplication puts in one group (`near_dup`, with its settings) are
 one carrier, and so are exact copies: what only copies share stays, for near-deduplication to decide.
 
-`Tree.whole` below 100 also spares texts with more than that share of words in recurring templates.
-The queries set it to 100: a document loses its boilerplate however much of it that is, and may
-become empty.
+A document loses its boilerplate however much of it that is, and may become empty.
 
 Only hashes of lines leave a scan; the tokens are read again for one line of each distinct sequence
 in leaves that hold several. A leaf is always grown in one pass, whatever its size: an index of parts
 of the templates finds those that can agree enough. The sequences of a leaf are in one task's memory.
 
 Defined results: a null text stays null, an empty one empty; lines of fewer than `min_words` tokens
-are never dropped; repeated rows and equal texts are treated alike; an empty table stays empty.
+are never dropped; repeated rows and equal texts are treated alike; a text is worked on whole, so
+the longest bounds the memory; of columns named like a result (n_lines, n_dropped) the result
+stays; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -29,24 +29,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm import kernels as K
-from rankloom.llm.common import pieces, small_batches, stored, text_column
+from rankloom.llm.common import discard, pieces, small_batches, stored, text_column
 from rankloom.llm.near_dup import near_duplicates
 
 
 @dataclass(frozen=True)
 class Tree:
-    """Leading tokens of a path, least tokens of a line, least carriers of a dropped template, and percentages:
-    of agreeing tokens in a template, and of a document's words above which it stays whole (100: never)."""
+    """Leading tokens of a path, least tokens of a line, least carriers of a dropped template, and percentage of agreeing
+    tokens in a template. Lines of fewer tokens than twice the path's and two more have too few to tell templates by."""
 
     depth: int = 3
     min_words: int = 8
     min_docs: int = 3
     agree: int = 70
-    whole: int = 50
 
 
-#: Documents or drop lists that are broadcast (tens of bytes each); above that they are joined by shuffle.
-BROADCAST_ROWS = 500_000
+#: Bytes of ids and line lists that are broadcast; above that they are joined by shuffle.
+BROADCAST_BYTES = 32 << 20
 #: Sequences of a task's worth of leaves.
 PART = 4_000
 
@@ -85,11 +84,13 @@ def _paths(texts: pa.Array, tree: Tree) -> dict[str, np.ndarray]:
     rolling = K.Rolling(_tokens(w))
     head = rolling.runs(first, np.minimum(first + tree.depth, last))
     leaf = K.mix(head + (last - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return {"text": text, "line": number, "leaf": leaf.view(np.int64), "seq": rolling.runs(first, last).view(np.int64), "words": last - first, "doc_words": w.counts[text]}
+    return {"text": text, "line": number, "leaf": leaf.view(np.int64), "seq": rolling.runs(first, last).view(np.int64)}
 
 
-def _few(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _few(df: DataFrame, lines: str | None = None) -> DataFrame:
+    """A stored table of an id, and of line numbers if named, marked for broadcast if it is small enough."""
+    size = F.lit(64) + (4 * F.size(lines) if lines else F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def _grow(sequences: list[np.ndarray], agree: int) -> tuple[list[int], list[np.ndarray]]:
@@ -160,7 +161,7 @@ def _templates(docs: DataFrame, lines: DataFrame, text: str, tree: Tree) -> Data
     several = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     chosen = stored(distinct.join(several.select("leaf"), "leaf").select("leaf", "seq", "docs", F.col("at.text_id").alias("text_id"), F.col("at.line").alias("line")), "line-chosen")
     total = chosen.count()
-    wanted = _few(stored(chosen.groupBy("text_id").agg(F.array_sort(F.collect_list("line")).alias("wanted")), "line-texts"))
+    wanted = _few(stored(chosen.groupBy("text_id").agg(F.array_sort(F.collect_list("line")).alias("wanted")), "line-texts"), "wanted")
     read = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).join(wanted, "text_id").select("text_id", "text", "wanted")
     small_batches(docs.sparkSession)
 
@@ -182,7 +183,9 @@ def _templates(docs: DataFrame, lines: DataFrame, text: str, tree: Tree) -> Data
 
     found = chosen.join(read.mapInArrow(tokens, "text_id long, line int, tokens binary"), ["text_id", "line"]).dropDuplicates(["leaf", "seq"])
     rows = found.withColumn("task", F.pmod(F.xxhash64("leaf"), F.lit(max(1, total // PART))))
-    return _grown(rows.select("task", "leaf", "docs", "seq", "tokens"), "task", tree)
+    grown = stored(_grown(rows.select("task", "leaf", "docs", "seq", "tokens"), "task", tree), "line-templates")
+    discard(distinct, chosen)
+    return grown
 
 
 def recurring(docs: DataFrame, text: str = "text", tree: Tree | None = None) -> DataFrame:
@@ -196,32 +199,34 @@ def recurring(docs: DataFrame, text: str = "text", tree: Tree | None = None) ->
             for a, b in pieces(texts, K.BLOCK):
                 m = _paths(texts.slice(a, b - a), tree)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a).take(pa.array(m["text"])), pa.array(m["line"], pa.int32()), *(pa.array(m[c], pa.int64()) for c in ("leaf", "seq", "words", "doc_words"))], names=["text_id", "line", "leaf", "seq", "words", "doc_words"]
+                    [ids.slice(a, b - a).take(pa.array(m["text"])), pa.array(m["line"], pa.int32()), *(pa.array(m[c], pa.int64()) for c in ("leaf", "seq"))], names=["text_id", "line", "leaf", "seq"]
                 )
 
-    scanned = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).mapInArrow(paths, "text_id long, line int, leaf long, seq long, words long, doc_words long")
-    lines = stored(scanned.dropDuplicates(["text_id", "line"]), "lines")
-    shared = lines.select("leaf", "text_id").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= tree.min_docs).select("leaf")
-    lines = stored(lines.join(shared, "leaf", "left_semi"), "line-shared")
-    templates = stored(_templates(docs, lines, text, tree), "line-templates")
+    scanned = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).mapInArrow(paths, "text_id long, line int, leaf long, seq long")
+    every = stored(scanned.dropDuplicates(["text_id", "line"]), "lines")
+    shared = every.select("leaf", "text_id").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= tree.min_docs).select("leaf")
+    lines = stored(every.join(shared, "leaf", "left_semi"), "line-shared")
+    discard(every)
+    templates = _templates(docs, lines, text, tree)
     placed = lines.join(templates, ["leaf", "seq"], "left").withColumn("template", F.coalesce("template", "seq"))
-    placed = stored(placed.select("text_id", "line", "words", "doc_words", F.xxhash64("leaf", "template").alias("template")), "line-placed")
+    placed = stored(placed.select("text_id", "line", F.xxhash64("leaf", "template").alias("template")), "line-placed")
+    discard(lines, templates)
     often = placed.select("template", "text_id").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= tree.min_docs).select("template")
     hits = stored(placed.join(often, "template", "left_semi"), "line-hits")
+    discard(placed)
     # Only texts with such lines can make several carriers one.
     ids = _few(stored(hits.select("text_id").distinct(), "line-hit-texts"))
     some = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).join(ids, "text_id", "left_semi")
     groups = near_duplicates(some, "text_id").where("NOT kept").select(F.col("doc_id").alias("text_id"), F.col("component_id").alias("carrier")).distinct()
     carried = hits.select("template", "text_id").distinct().join(_few(stored(groups, "line-carriers")), "text_id", "left").withColumn("carrier", F.coalesce("carrier", "text_id"))
     often = carried.select("template", "carrier").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= tree.min_docs).select("template")
-    drops = hits.join(often, "template", "left_semi").groupBy("text_id").agg(F.array_sort(F.collect_list("line")).alias("drop"), F.sum("words").alias("lost"), F.first("doc_words").alias("all"))
-    return drops.where(F.col("lost") * 100 <= F.col("all") * tree.whole).select("text_id", "drop")
+    return hits.join(often, "template", "left_semi").groupBy("text_id").agg(F.array_sort(F.collect_list("line")).alias("drop"))
 
 
 def without_templates(docs: DataFrame, text: str = "text", tree: Tree | None = None, counts: bool = False) -> DataFrame:
     """docs with the recurring lines left out of their texts; a column n_chars follows; counts adds n_lines and n_dropped."""
     columns = [c for c in docs.columns if not (counts and c.lower() in ("n_lines", "n_dropped"))]
-    drops = _few(stored(recurring(docs, text, tree), "line-drops").withColumnRenamed("text_id", "_text_id").withColumnRenamed("drop", "_drop"))
+    drops = _few(stored(recurring(docs, text, tree).toDF("_text_id", "_drop"), "line-drops"), "_drop")
     lines = F.split(F.col(text), "\n")
     joined = docs.withColumn("_text_id", F.xxhash64(text)).join(drops, "_text_id", "left")
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_drop", i)), "\n")
