@@ -3,7 +3,8 @@
 Prefix sums of turn tokens deal the turns of a conversation into spans: a turn whose sum of earlier
 tokens passes the next half of the room begins a span, and a turn of more than half the room has
 one to itself. So a span of several turns never exceeds the room, no turn is cut, and a single turn
-that exceeds the room makes a longer window. The room is the budget less the system turn and the
+that exceeds the room makes a longer window. A system turn that leaves no room for others makes every
+window longer than the budget: each holds it and one other turn that has words. The room is the budget less the system turn and the
 history; every window but the first repeats the leading system turn and up to `history_turns`
 turns before it. Repeated turns have a marker of their own and no loss, so each assistant text is a
 target once.
@@ -13,7 +14,7 @@ the reverse order restores; the only `<` of an output are those of its markers.
 
 Defined results: null texts and roles are empty; turns are in order of turn (null first), role and
 text; a null conversation is a conversation; repeated rows are turns; an empty table gives an empty
-result. Windows stay within the budget, so only the reading back in `digests` puts a whole
+result; columns of other names don't matter. A turn is held whole, so the longest bounds the memory. Windows stay within the budget, so only the reading back in `digests` puts a whole
 conversation in one row, as its digest demands.
 """
 

@@ -12,7 +12,9 @@ level: sources below it are capped, the others get weight times level. Only the
 is put in one order; it has a row for each source and range.
 
 Defined results: a null text has size 0 and takes nothing; rows without any words give targets of
-0; repeated rows are separate documents; an empty table gives an empty result.
+0; repeated rows are separate documents; an empty table gives an empty result;
+a text is counted whole, in one task; of columns named like a result the result stays, and columns of
+any other name come back as they were.
 """
 
 from __future__ import annotations
@@ -59,23 +61,22 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     docs = docs.drop(*_RESULTS)
     bits = max(4, math.ceil(math.log2(docs.count() + 1) / 2))
     hashed = F.xxhash64(F.lit(seed), F.col(key), F.col(text))
-    rows = (
-        docs.withColumn("size", word_count(F.col(text)) if size is None else size)
-        .withColumn("_source", F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")))
-        .withColumn("_key", hashed)
-        .withColumn("_range", F.shiftrightunsigned("_key", 64 - bits))
-    )
-    ranges = stored(rows.groupBy("_source", F.col(source).alias("source"), "_range").agg(F.sum("size").alias("_words")), "mix-ranges")
+    # The given columns travel in a struct, so their names meet none of ours.
+    rows = docs.select(
+        F.struct("*").alias("_row"), (word_count(F.col(text)) if size is None else size).alias("size"),
+        F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")).alias("_source"), hashed.alias("_key"),
+    ).withColumn("_range", F.shiftrightunsigned("_key", 64 - bits))
+    ranges = stored(rows.groupBy("_source", F.col("_row")[source].alias("source"), "_range").agg(F.sum("size").alias("_words")), "mix-ranges")
     aims = targets(ranges.groupBy("_source", "source").agg(F.sum("_words").alias("source_size")), weights, share, most).drop("source")
     earlier = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranges.select("_source", "_range", F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_start")).join(aims, "_source")
-    inside = Window.partitionBy("_source", "_range").orderBy("_key", key, "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_source", "_range").orderBy("_key", F.col("_row")[key], "size").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("_start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(F.lit(0))
     rest = budget - epochs * F.col("source_size")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - before))
-    return rows.join(starts, ["_source", "_range"]).withColumn("taken", taken.cast("long")).drop("_source", "_range", "_key", "_start")
+    return rows.join(starts, ["_source", "_range"]).select("_row.*", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, text: str = "text", **options: object) -> DataFrame:
@@ -84,14 +85,14 @@ def mixed(docs: DataFrame, text: str = "text", **options: object) -> DataFrame:
     A cut text is its leading words, joined by blanks; a column n_chars follows it.
     """
     columns = docs.columns
-    planned = mix(docs, text=text, **options).where("taken > 0")
-    copies = F.expr("taken div size")
-    rest = F.expr("taken % size").cast("int")
-    whole = F.sequence(F.lit(1), (copies + F.when(rest > 0, 1).otherwise(0)).cast("int"))
-    planned = planned.withColumn("_whole", copies).withColumn("_rest", rest).withColumn("_copy", F.explode(whole))
-    trimmed = F.regexp_replace(F.col(text), r"^[\x20\x09-\x0D]+", "")
+    row = F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row")
+    planned = mix(docs, text=text, **options).where("taken > 0").select(row, F.expr("taken div size").alias("_whole"), F.expr("cast(taken % size AS int)").alias("_rest"))
+    copies = F.sequence(F.lit(1), (F.col("_whole") + F.when(F.col("_rest") > 0, 1).otherwise(0)).cast("int"))
+    planned = planned.withColumn("_copy", F.explode(copies))
+    given, at_cut = F.col("_row"), F.col("_copy") > F.col("_whole")
+    trimmed = F.regexp_replace(given[text], r"^[\x20\x09-\x0D]+", "")
     cut = F.concat_ws(" ", F.slice(F.split(trimmed, _BLANKS), 1, F.greatest(F.col("_rest"), F.lit(1))))
-    planned = planned.withColumn("_cut", F.col("_copy") > F.col("_whole")).withColumn(text, F.when(F.col("_cut"), cut).otherwise(F.col(text)))
+    changed = {text: F.when(at_cut, cut).otherwise(given[text])}
     if "n_chars" in columns:
-        planned = planned.withColumn("n_chars", F.when(F.col("_cut"), F.length(text).cast("long")).otherwise(F.col("n_chars")))
-    return planned.select(*columns)
+        changed["n_chars"] = F.when(at_cut, F.length(cut).cast("long")).otherwise(given["n_chars"])
+    return planned.select(*(changed.get(c, given[c]).alias(c) for c in columns))

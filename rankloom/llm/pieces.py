@@ -3,7 +3,9 @@
 A chunk is a run of white-space markers and what follows up to the next marker. Where no piece of
 the vocabulary holds a marker after another character, merges never cross chunks, so each distinct
 chunk is segmented once and its ids are joined back by position. A model for which that does not
-hold is applied to whole texts. Defined results: a null or empty text has no ids and decodes to "".
+hold is applied to whole texts. Defined results: a null or empty text has no ids and decodes to "";
+repeated rows are encoded alike; of columns named like a result the result stays; an empty table gives
+an empty result. The ids of a text are held whole, so the longest bounds the memory.
 """
 
 from __future__ import annotations

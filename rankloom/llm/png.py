@@ -3,7 +3,9 @@
 Images are 64 samples wide. Chunks carry their CRC, which the reader tests; scan lines use the
 None, Sub or Up filter by band, and the reader undoes all five filters in numpy. The feature is
 the signs of the low frequencies of a cosine transform of the image reduced to 32 x 32.
-Defined results: a null or empty payload is one line of zeros; equal payloads give equal bytes.
+Defined results: a null or empty payload is one line of zeros; equal payloads give equal bytes, repeated rows alike;
+of columns named like a result the result stays; an empty table gives an empty result. An image is held
+whole, so the longest text bounds the memory.
 """
 
 from __future__ import annotations

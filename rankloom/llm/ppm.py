@@ -15,7 +15,8 @@ table of all counts, and runs that were not counted go down the orders by joins
 NODES and SHARE move work between the two ways and change no score.
 
 Defined results: a null or empty text is one end token; a null id is held out; without training
-tokens the baseline is 0 for each token and the model is uniform; repeated rows are scored each.
+tokens the baseline is 0 for each token and the model is uniform; repeated rows are scored each;
+other columns don't matter; an empty table gives an empty result. A text is read whole, so the longest bounds the memory.
 """
 
 from __future__ import annotations

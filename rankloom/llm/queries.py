@@ -17,7 +17,7 @@ from rankloom.llm.png import features, store
 from rankloom.llm.ppm import scores
 from rankloom.llm.quality import quality
 from rankloom.llm.token_counts import token_counts
-from rankloom.llm.warc import read_archives, roles, write_archives
+from rankloom.llm.warc import read_archives, resolved, roles, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +56,7 @@ def op5_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_archives(roles(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
-    return read_archives(manifest).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return resolved(read_archives(manifest)).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

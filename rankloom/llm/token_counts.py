@@ -5,7 +5,9 @@ score of a prefix depends on that prefix alone, so walking the trie in order kee
 the current path and computes each node once, whatever number of pre-tokens share it; the count at
 a pre-token's end is stored and added up by text. Scores are whole thousandths of a nat, so sums
 and ties are exact; of equally good segmentations the one with fewer tokens counts.
-Defined results: a null or empty text has 0 pre-tokens and 0 tokens; repeated rows count alike.
+Defined results: a null or empty text has 0 pre-tokens and 0 tokens; repeated rows count alike;
+of columns named like a result the result stays; an empty table gives an empty result. A block holds
+whole texts, so the longest bounds the memory.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ smallest key. A task writes archives under names that no other attempt uses and
 when it ends, so lost executors leave orphans but no wrong manifest.
 Defined results: a null payload is empty; a null key comes last, can't be referred to, and is read
 back as null; rows that share the smallest key are all responses; an empty table gives an empty
-manifest, which reads back as no records.
+manifest, which reads back as no records. Of columns named like a result the result stays, others are
+left alone. A payload is held whole in memory, so the longest bounds it; so is the longest record of an archive.
 """
 
 from __future__ import annotations
@@ -172,7 +173,7 @@ def _parsed(path: str, record: bytes) -> tuple[dict[str, str], bytes]:
 def read_archives(manifest: DataFrame, payload: bool = False) -> DataFrame:
     """Records of the archives of a manifest: digests and sizes of the payloads as read, and on request the payloads.
 
-    A revisit's size and digest are those of the payload that it leaves out, from its own fields.
+    A revisit's size and digest are those of the payload that it leaves out, from its own fields; `resolved` takes them from its response.
     """
     schema = _RECORDS + (", payload binary" if payload else "")
     names = [x.split()[0] for x in schema.split(", ")]
@@ -203,3 +204,22 @@ def read_archives(manifest: DataFrame, payload: bool = False) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=False)], names=names)
 
     return manifest.select("archive").repartition(max(1, min(manifest.count(), 4096)), "archive").mapInArrow(run, schema)
+
+
+def resolved(records: DataFrame) -> DataFrame:
+    """records with the size and digest of each revisit as read from the response that it refers to; one that finds none, or another payload, fails.
+
+    Only responses that are referred to are joined, and a key alone doesn't tell them: rows may share it.
+    """
+    kept = stored(records, "warc-records")
+    again = F.col("record_type") == "revisit"
+    wanted = kept.where(again).select(F.col("refers_to").alias("_key"), F.col("payload_digest").alias("_digest")).distinct()
+    responses = kept.where(~again).select(F.col("key").alias("_key"), F.col("payload_digest").alias("_digest"), F.col("payload_bytes").alias("_bytes")).distinct()
+    found = stored(wanted.join(responses, ["_key", "_digest"]), "warc-referred")
+    if found.count() <= BROADCAST_GROUPS:
+        found = F.broadcast(found)
+    joined = kept.join(found, again & (F.col("refers_to") == F.col("_key")) & (F.col("payload_digest") == F.col("_digest")), "left")
+    lost = again & ~F.coalesce(F.col("_bytes") == F.col("payload_bytes"), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit("no such response for the revisit "), F.coalesce(F.col("key").cast("string"), F.lit("null"))))
+    size = F.when(lost, wrong.cast("long")).otherwise(F.coalesce("_bytes", "payload_bytes"))
+    return joined.select(*(size.alias(c) if c == "payload_bytes" else F.col(c) for c in records.columns))

@@ -58,6 +58,17 @@ def test_windows_keep_to_the_budget(spark):
     assert any("<past user>" in w.formatted or "<past assistant>" in w.formatted for w in windows)
 
 
+def test_a_system_turn_without_room(spark):
+    rows = [(1, 0, "system", "s " * 100, "")] + [(1, i, ["assistant", "user"][i % 2], f"turn {i}", "") for i in range(1, 6)]
+    got = check(spark, rows, chat.Budget(window=50, history=10))
+    windows = chat.formatted(turns(spark, rows), budget=chat.Budget(window=50, history=10)).collect()
+    assert got[1].n_windows == 5 and all(w.formatted.count(" system>") == 1 and w.n_tokens > 50 for w in windows)
+
+
+def test_a_very_long_turn(spark):
+    check(spark, [(1, 0, "user", "a <b> & " * 200_000, ""), (1, 1, "assistant", "x&lt;" * 200_000, "")])
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = queries.op4_budgeted_windows(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

@@ -52,11 +52,22 @@ def test_mix(spark, seed):
 def test_mixed_gives_the_words_that_mix_takes(spark):
     _, df = table(spark, 9)
     df = df.withColumn("n_chars", F.length("text").cast("long")).withColumn("taken", F.lit("clash"))
+    ours = ["_row", "_source", "_key", "_range", "_start", "_copy", "_whole"]
+    for name in ours:
+        df = df.withColumn(name, F.col("doc_id") + len(name))
+    assert all(r[name] == r.doc_id + len(name) for r in mix(df).collect() for name in ours)
     out = mixed(df).withColumn("words", word_count(F.col("text")))
     want = mix(df).groupBy("source").agg(F.sum("taken")).collect()
     got = {r[0]: r[1] for r in out.groupBy("source").agg(F.sum("words")).collect()}
     assert {s: n for s, n in want if n} == got
-    assert out.columns[:5] == df.columns and out.where("n_chars <> length(text)").count() == 0
+    assert out.columns[:-1] == df.columns and out.where("n_chars <> length(text)").count() == 0
+
+
+def test_a_very_long_text_is_counted_whole(spark):
+    rows = [(1, "word " * 400_000, "a"), (2, "one two", "a"), (3, " ".join(["x"] * 1000), "b")]
+    got = {r.doc_id: r for r in mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[1]["size"] == 400_000 and got[1].source_size == 400_002
+    assert sum(r.taken for r in got.values() if r.source == "a") == int(got[1].target)
 
 
 def test_nothing_to_mix(spark):

@@ -64,6 +64,15 @@ def test_damage_is_found(spark, tmp_path):
             warc.read_archives(manifest).collect()
 
 
+def test_revisits_are_resolved(spark):
+    _, df = pages(spark)
+    records = warc.read_archives(warc.write_archives(warc.roles(df)))
+    assert sorted(map(str, warc.resolved(records).collect())) == sorted(map(str, records.collect()))
+    without = records.where("NOT (key = 2 AND record_type = 'response')")
+    with pytest.raises(Exception, match="no such response"):
+        warc.resolved(without).collect()
+
+
 def test_large_sample_trains_a_dictionary(spark):
     df = spark.range(3000).selectExpr("id AS page_id", "concat('http://x/', id) AS url", "concat('<html><title>page ', id, '</title><body>', repeat(concat('text ', id % 17, ' and more of it '), 20), '</body></html>') AS html")
     manifest = warc.write_archives(warc.roles(df.coalesce(2)))
