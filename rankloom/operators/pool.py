@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -97,6 +98,18 @@ def seeded_order(df: DataFrame, seed: int, *keys: str) -> DataFrame:
 
 
 def positions(df: DataFrame, seed: int, *keys: str, by: str | None = None) -> DataFrame:
-    """df with `position`, from 0, in the seeded order within each `by`."""
-    w = Window.partitionBy(*([by] if by else [])).orderBy(F.xxhash64(F.lit(seed), *keys), *keys)
-    return df.withColumn("position", (F.row_number().over(w) - 1).cast("long"))
+    """df with `position`, from 0, in the seeded order within each `by`.
+
+    The high bits of the hash deal the rows of a `by` into ranges, counted and added up, so that neither
+    the table nor a large `by` is sorted in one task. df is read twice.
+    """
+    bits = max(1, math.ceil(math.log2(df.count() + 1) / 2))
+    # The given columns travel in a struct, so their names meet none of ours.
+    dealt = df.select(F.struct("*").alias("_row"), F.struct(F.col(by) if by else F.lit(0)).alias("_by"), F.xxhash64(F.lit(seed), *keys).alias("_hash"))
+    dealt = dealt.withColumn("_range", F.shiftright("_hash", 64 - bits))
+    earlier = Window.partitionBy("_by").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_by", "_range").agg(F.count(F.lit(1)).alias("_n")).select("_by", "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_by", "_range").orderBy("_hash", *(F.col("_row")[k] for k in keys))
+    counted = dealt.withColumn("_at", F.row_number().over(inside) - 1)
+    same = counted["_by"].eqNullSafe(starts["_by"]) & (counted["_range"] == starts["_range"])
+    return counted.join(starts, same).select(*(F.col("_row")[c].alias(c) for c in df.columns if c.lower() != "position"), (F.col("_start") + F.col("_at")).cast("long").alias("position"))

@@ -196,3 +196,18 @@ def test_checks(spark):
         checks.non_empty(df.limit(0))
     with pytest.raises(ValueError, match="missing columns"):
         checks.pair_violations(df)
+
+
+def test_positions_follow_the_seeded_order(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, "b").alias("by"), F.lit("clash").alias("_range"))
+    order = [r.id for r in pool.seeded_order(df, 5, "id").collect()]
+    got = pool.positions(df, 5, "id")
+    assert got.columns == [*df.columns, "position"]
+    assert [r.id for r in got.orderBy("position").collect()] == order and {r.position for r in got.collect()} == set(range(3000))
+    assert got.where("_range = 'clash'").count() == 3000
+    grouped = {}
+    for r in pool.positions(df, 5, "id", by="by").collect():
+        grouped.setdefault(r.by, {})[r.position] = r.id
+    by = {r.id: r.by for r in df.collect()}
+    assert {k: [v[i] for i in range(len(v))] for k, v in grouped.items()} == {k: [i for i in order if by[i] == k] for k in (None, "b", "hot")}
+    assert pool.positions(df.limit(0), 5, "id").count() == 0
