@@ -93,6 +93,12 @@ def _few(df: DataFrame, lines: str | None = None) -> DataFrame:
     return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
+def _often(rows: DataFrame, key: str, carrier: str, tree: Tree) -> DataFrame:
+    """The keys with enough carriers, stored: a join with them sends no frequent key to one task, be it by broadcast or dealt anew."""
+    found = rows.select(key, carrier).distinct().groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return stored(found.where(F.col("n") >= tree.min_docs).select(key), f"line-often-{key}")
+
+
 def _grow(sequences: list[np.ndarray], agree: int) -> tuple[list[int], list[np.ndarray]]:
     """Template of each sequence, and the templates: each sequence joins the one it agrees with most, if enough.
 
@@ -158,8 +164,8 @@ def _grown(rows: DataFrame, groups: str, tree: Tree) -> DataFrame:
 def _templates(docs: DataFrame, lines: DataFrame, text: str, tree: Tree) -> DataFrame:
     """(leaf, seq, template) of the distinct sequences in leaves with several; elsewhere the sequence is the template."""
     distinct = stored(lines.groupBy("leaf", "seq").agg(F.min(F.struct("text_id", "line")).alias("at"), F.count(F.lit(1)).alias("docs")), "line-sequences")
-    several = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    chosen = stored(distinct.join(several.select("leaf"), "leaf").select("leaf", "seq", "docs", F.col("at.text_id").alias("text_id"), F.col("at.line").alias("line")), "line-chosen")
+    several = stored(distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("leaf"), "line-several")
+    chosen = stored(distinct.join(_few(several), "leaf").select("leaf", "seq", "docs", F.col("at.text_id").alias("text_id"), F.col("at.line").alias("line")), "line-chosen")
     total = chosen.count()
     wanted = _few(stored(chosen.groupBy("text_id").agg(F.array_sort(F.collect_list("line")).alias("wanted")), "line-texts"), "wanted")
     read = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).join(wanted, "text_id").select("text_id", "text", "wanted")
@@ -184,7 +190,7 @@ def _templates(docs: DataFrame, lines: DataFrame, text: str, tree: Tree) -> Data
     found = chosen.join(read.mapInArrow(tokens, "text_id long, line int, tokens binary"), ["text_id", "line"]).dropDuplicates(["leaf", "seq"])
     rows = found.withColumn("task", F.pmod(F.xxhash64("leaf"), F.lit(max(1, total // PART))))
     grown = stored(_grown(rows.select("task", "leaf", "docs", "seq", "tokens"), "task", tree), "line-templates")
-    discard(distinct, chosen)
+    discard(distinct, several, chosen)
     return grown
 
 
@@ -204,23 +210,22 @@ def recurring(docs: DataFrame, text: str = "text", tree: Tree | None = None) ->
 
     scanned = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).mapInArrow(paths, "text_id long, line int, leaf long, seq long")
     every = stored(scanned.dropDuplicates(["text_id", "line"]), "lines")
-    shared = every.select("leaf", "text_id").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= tree.min_docs).select("leaf")
-    lines = stored(every.join(shared, "leaf", "left_semi"), "line-shared")
-    discard(every)
+    shared = _often(every, "leaf", "text_id", tree)
+    lines = stored(every.join(_few(shared), "leaf", "left_semi"), "line-shared")
+    discard(every, shared)
     templates = _templates(docs, lines, text, tree)
     placed = lines.join(templates, ["leaf", "seq"], "left").withColumn("template", F.coalesce("template", "seq"))
     placed = stored(placed.select("text_id", "line", F.xxhash64("leaf", "template").alias("template")), "line-placed")
     discard(lines, templates)
-    often = placed.select("template", "text_id").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= tree.min_docs).select("template")
-    hits = stored(placed.join(often, "template", "left_semi"), "line-hits")
-    discard(placed)
+    often = _often(placed, "template", "text_id", tree)
+    hits = stored(placed.join(_few(often), "template", "left_semi"), "line-hits")
+    discard(placed, often)
     # Only texts with such lines can make several carriers one.
     ids = _few(stored(hits.select("text_id").distinct(), "line-hit-texts"))
     some = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).join(ids, "text_id", "left_semi")
     groups = near_duplicates(some, "text_id").where("NOT kept").select(F.col("doc_id").alias("text_id"), F.col("component_id").alias("carrier")).distinct()
     carried = hits.select("template", "text_id").distinct().join(_few(stored(groups, "line-carriers")), "text_id", "left").withColumn("carrier", F.coalesce("carrier", "text_id"))
-    often = carried.select("template", "carrier").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= tree.min_docs).select("template")
-    return hits.join(often, "template", "left_semi").groupBy("text_id").agg(F.array_sort(F.collect_list("line")).alias("drop"))
+    return hits.join(_few(_often(carried, "template", "carrier", tree)), "template", "left_semi").groupBy("text_id").agg(F.array_sort(F.collect_list("line")).alias("drop"))
 
 
 def without_templates(docs: DataFrame, text: str = "text", tree: Tree | None = None, counts: bool = False) -> DataFrame:
