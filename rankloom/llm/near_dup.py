@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm import kernels as K
-from rankloom.llm.common import discard, pieces, small_batches, stored, text_column
+from rankloom.llm.common import discard, few, pieces, small_batches, stored, text_column
 from rankloom.llm.components import components
 
 
@@ -189,9 +189,11 @@ def _across(docs: DataFrame, keys: DataFrame, pivots: DataFrame, found: DataFram
     groups = sizes.groupBy("pivot").agg(F.max(F.struct("c", (-F.col("component")).alias("low"), "n")).alias("most"), F.sum("n").alias("n"))
     in_blocks = lambda n: F.greatest(F.ceil(n / BLOCK_SHINGLES), F.lit(1)).cast("int")
     groups = groups.select("pivot", (-F.col("most.low")).alias("main"), in_blocks(F.col("n")).alias("told_blocks"), in_blocks(F.col("n") - F.col("most.n")).alias("ask_blocks"))
+    # Stored, so that a pivot of many members is not dealt to one task for the join.
+    groups = stored(groups, "near-groups")
     ids = stored(members.select(F.col("id").alias("doc_id")).distinct(), "near-ids")
     sets = stored(_sets(docs, ids, key, text, s), "near-sets")
-    rows = members.join(groups, "pivot").join(sets, "set_key")
+    rows = members.join(few(groups), "pivot").join(sets, "set_key")
     rows = rows.withColumn("own_q", F.pmod(F.hash("set_key"), F.col("ask_blocks"))).withColumn("own_t", F.pmod(F.hash(F.lit(1), "set_key"), F.col("told_blocks")))
     # A member is told to every asking block; an asker asks every told block as well. In one cell it does both.
     outside = F.col("component") != F.col("main")
@@ -224,7 +226,7 @@ def _across(docs: DataFrame, keys: DataFrame, pivots: DataFrame, found: DataFram
 
     small_batches(spark)
     links = stored(dealt.groupBy("pivot", "q", "t").applyInArrow(compare, "a long, b long"), "near-links")
-    discard(members, ids, sets)
+    discard(members, groups, ids, sets)
     return links
 
 
