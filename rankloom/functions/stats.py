@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -10,11 +10,11 @@ def finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
 
 
-def pearson(x: Column, y: Column) -> Column:
-    """Correlation of a group as an aggregate; 0 if either is constant, not finite, or of one row."""
-    sx, sy = F.stddev_pop(x), F.stddev_pop(y)
-    usable = finite(sx) & finite(sy) & (sx > 0) & (sy > 0) & (F.count(x) > 1)
-    return F.when(usable, F.try_divide(F.covar_pop(x, y), sx * sy)).otherwise(F.lit(0.0))
+def pearson(x: Column, y: Column, over: WindowSpec | None = None) -> Column:
+    """Correlation of a group as an aggregate, or over a window; 0 if either is constant, not finite, or of one row."""
+    sx, sy, xy, n = (a if over is None else a.over(over) for a in (F.stddev_pop(x), F.stddev_pop(y), F.covar_pop(x, y), F.count(x)))
+    usable = finite(sx) & finite(sy) & (sx > 0) & (sy > 0) & (n > 1)
+    return F.when(usable, F.try_divide(xy, sx * sy)).otherwise(F.lit(0.0))
 
 
 def or_zero(x: Column) -> Column:

@@ -23,9 +23,9 @@ def rank_average(df: DataFrame, value: str, name: str = "rank", by: str | None =
     dealt in ranges of values, and added up in two levels; ranks then join back by value. df is read twice.
     """
     if by is not None:
-        w = Window.partitionBy(by)
-        tied = (F.count(F.lit(1)).over(w.partitionBy(by, value)) - 1) / F.lit(2.0)
-        return df.withColumn(name, F.rank().over(w.orderBy(value)) + tied)
+        # Rows up to the last that ties, by the same order: a window by value would sort doubles again.
+        w = Window.partitionBy(by).orderBy(value)
+        return df.withColumn(name, (F.rank().over(w) + F.count(F.lit(1)).over(w)) / F.lit(2.0))
     return df.join(average_ranks(df, value, name), F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
 
 
@@ -84,15 +84,20 @@ def prompt_metrics(df: DataFrame, group: str, teacher: str, student: str, order:
     """A row a group: its size, and for two candidates or more top-1 agreement, pairs, credit and Spearman's correlation.
 
     The first candidate by `order` wins ties for the top. Candidates of a group are compared with
-    each other from one row, so the pairs of a group never leave its task.
+    each other from one row, so the pairs of a group never leave its task. Windows over the rows
+    sorted for the ranks serve as aggregates: no task holds a table of its groups.
     """
     rows = df.select(F.col(group).alias("group_key"), F.col(teacher).cast("double").alias("t"), F.col(student).cast("double").alias("s"), F.col(order).alias("o"))
     rows = rank_average(rank_average(rows, "t", "rt", "group_key"), "s", "rs", "group_key")
-    first = lambda x: F.min_by("o", F.struct((-F.col(x)).alias("v"), "o"))
-    groups = rows.groupBy("group_key").agg(
-        F.count(F.lit(1)).alias("candidates"), (first("t") == first("s")).alias("top1_match"), S.pearson(F.col("rt"), F.col("rs")).alias("spearman"),
-        F.array_sort(F.collect_list(F.struct("o", "t", "s"))).alias("_all"), F.avg(F.abs(F.col("s") - F.col("t"))).alias("mean_abs_error"),
+    w = Window.partitionBy("group_key")
+    # Any one row of a group serves in the end; this order is that of the last ranks, so nothing is sorted again.
+    rows = rows.withColumn("_n", F.row_number().over(w.orderBy("s")))
+    first = lambda x: F.min_by("o", F.struct((-F.col(x)).alias("v"), "o")).over(w)
+    groups = rows.select(
+        "group_key", "_n", F.count(F.lit(1)).over(w).alias("candidates"), (first("t") == first("s")).alias("top1_match"), S.pearson(F.col("rt"), F.col("rs"), w).alias("spearman"),
+        F.collect_list(F.struct("o", "t", "s")).over(w).alias("_all"), F.avg(F.abs(F.col("s") - F.col("t"))).over(w).alias("mean_abs_error"),
     )
+    groups = groups.where("_n = 1").withColumn("_all", F.array_sort("_all"))
 
     def after(x: Column, i: Column) -> Column:
         zero = F.struct(F.lit(0).cast("long").alias("pairs"), F.lit(0.0).alias("credit"))

@@ -131,6 +131,15 @@ def test_metrics_of_nothing_are_zero(spark):
     assert metrics.group_metrics(empty, "g", "t", "s", "sid").first().top1_agreement == 0.0
 
 
+def test_prompt_metrics_sort_once_a_score_and_keep_no_table_of_groups(spark):
+    df = spark.createDataFrame([(1, "a", 0.0, 1.0), (1, "b", -0.0, 2.0), (1, "c", float("nan"), 3.0), (1, "d", float("nan"), 3.0), (None, "e", 2.0, 5.0), (None, "f", 1.0, 4.0)], "g long, sid string, t double, s double")
+    made = metrics.prompt_metrics(df, "g", "t", "s", "sid").select("group_key", "candidates", "prompt_spearman")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2 and "Aggregate" not in plan
+    got = {r.group_key: (r.candidates, r.prompt_spearman) for r in made.collect()}
+    assert got == {1: (4, pytest.approx(corr([1.5, 1.5, 3.5, 3.5], [1, 2, 3.5, 3.5]))), None: (2, pytest.approx(1.0))}
+
+
 def test_global_ranks_have_no_single_partition_sort(spark):
     df = spark.range(2000).select((F.col("id") % 700).cast("double").alias("v"))
     got = {r.v: r["rank"] for r in metrics.rank_average(df, "v").collect()}
