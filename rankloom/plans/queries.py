@@ -64,11 +64,11 @@ def _candidates(spark: SparkSession, sf_dir: str, score: str = "l_extendedprice"
 def _pairs(strategy: str, score: str = "l_extendedprice", min_margin: float = 0.0, max_pairs: int | None = None, dedupe: bool = True) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         options = pairs.PairOptions(strategy, min_margin, max_pairs, dedupe=dedupe, val_ratio=RATIO, seed=SEED)
-        made = pairs.build_pairs(_candidates(spark, sf_dir, score), options)
-        return made.select(
+        columns = (
             "global_prompt_index", "pair_id", "split", "pair_strategy", "pair_rank_within_prompt", "chosen", "rejected", "chosen_sample_id", "rejected_sample_id",
-            F.round("score_margin", 4).alias("score_margin"), "num_candidates_raw", "num_candidates_after_filter",
+            "score_margin", "num_candidates_raw", "num_candidates_after_filter",
         )
+        return pairs.build_pairs(_candidates(spark, sf_dir, score), options, columns, at_rest=True).withColumn("score_margin", F.round("score_margin", 4))
 
     return query
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rankloom.operators import candidates as C
 from rankloom.operators import checks, labels, metrics, pairs, pool
 from rankloom.operators.hard_prompts import hard_prompts
+from rankloom.plans import queries as plans
 from rankloom.sources.catalog import Source
 
 
@@ -67,6 +68,39 @@ def brute_pairs(rows, o):
     return sorted(out)
 
 
+def candidate_table(spark, rows):
+    df = spark.createDataFrame([(x["g"], x["score"], x["sid"], x["response"], x["rh"]) for x in rows], "global_prompt_index long, teacher_score double, sample_id string, response string, response_hash string")
+    for name, value in (("teacher_model", "t"), ("generator_model", "m"), ("generator_key", "k"), ("prompt_hash", "h"), ("prompt_raw", "p")):
+        df = df.withColumn(name, F.lit(value))
+    return df.withColumn("messages", F.array().cast("array<struct<role:string,content:string>>")).withColumn("generator_model_index", F.lit(0)).withColumn("candidate_index", F.lit(0))
+
+
+@pytest.mark.parametrize("in_row", [3, 6, 64])
+@pytest.mark.parametrize(("margin", "most", "dedupe"), [(0.0, None, False), (1.0, 3, True)])
+def test_all_pairs_of_small_and_large_groups(spark, monkeypatch, in_row, margin, most, dedupe):
+    monkeypatch.setattr(pairs, "IN_ROW", in_row)
+    r = random.Random(in_row)
+    rows = [{"g": min(r.randint(0, 40), 12), "score": float(r.randint(0, 9)), "sid": f"s{i:03}", "response": r.choice(["a", "b", " "]), "rh": r.choice("pqrstuvw")} for i in range(110)]
+    df = candidate_table(spark, rows)
+    sizes = [sum(x["g"] == g for x in rows) for g in range(13)]
+    assert min(sizes) <= 3 and max(sizes) > 64
+    o = pairs.PairOptions("all_pairs", margin, most, dedupe=dedupe, val_ratio=0.5)
+    columns = ("global_prompt_index", "chosen_sample_id", "rejected_sample_id", "pair_rank_within_prompt", "score_margin")
+    for at_rest in (False, True):
+        assert sorted(map(tuple, pairs.build_pairs(df, o, columns, at_rest).collect())) == brute_pairs(rows, o)
+    whole = pairs.build_pairs(df, o)
+    for names in (("pair_id", "split"), ("rejected", "pair_id", "num_candidates_raw"), ("chosen_generator_key", "messages")):
+        one = pairs.build_pairs(df, o, names)
+        assert one.columns == list(names) and sorted(one.collect()) == sorted(whole.select(*names).collect())
+
+
+@pytest.mark.parametrize("name", ["pairs_all"])
+def test_pairs_are_not_sorted_with_what_they_carry(spark, sf_dir, name):
+    plan = plans.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Sort [") == (2 if name == "pairs_all" else 1) and "margin" not in "".join(x for x in plan.splitlines() if "Sort [" in x)
+    assert "order " not in plan
+
+
 @pytest.mark.parametrize("strategy", pairs.STRATEGIES)
 @pytest.mark.parametrize(("margin", "most", "dedupe"), [(0.0, None, True), (2.0, 2, True), (1.0, 1, False)])
 def test_pairs_equal_brute_force(spark, strategy, margin, most, dedupe):
