@@ -94,7 +94,7 @@ def test_all_pairs_of_small_and_large_groups(spark, monkeypatch, in_row, margin,
         assert one.columns == list(names) and sorted(one.collect()) == sorted(whole.select(*names).collect())
 
 
-@pytest.mark.parametrize("name", ["pairs_all"])
+@pytest.mark.parametrize("name", ["pairs_all", "pairs_ties"])
 def test_pairs_are_not_sorted_with_what_they_carry(spark, sf_dir, name):
     plan = plans.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1 and plan.count("Sort [") == (2 if name == "pairs_all" else 1) and "margin" not in "".join(x for x in plan.splitlines() if "Sort [" in x)
