@@ -174,6 +174,19 @@ def test_prompt_metrics_sort_once_a_score_and_keep_no_table_of_groups(spark):
     assert got == {1: (4, pytest.approx(corr([1.5, 1.5, 3.5, 3.5], [1, 2, 3.5, 3.5]))), None: (2, pytest.approx(1.0))}
 
 
+def test_prompt_metrics_of_larger_groups(spark):
+    r = random.Random(3)
+    rows = [(g, f"s{i:03}", float(r.randint(0, 9)), float(r.randint(0, 9))) for g, n in ((1, 64), (2, 65), (3, 150)) for i in range(n)]
+    made = metrics.prompt_metrics(spark.createDataFrame(rows, "g long, sid string, t double, s double"), "g", "t", "s", "sid")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2 and "array_sort" not in plan
+    for x in made.collect():
+        own = [v[2:] for v in rows if v[0] == x.group_key]
+        met = [(a, b) for i, a in enumerate(own) for b in own[i + 1 :] if a[0] != b[0]]
+        assert (x.candidates, x.pairs) == (len(own), len(met))
+        assert x.credit == sum(0.5 if a[1] == b[1] else float((a[0] - b[0]) * (a[1] - b[1]) > 0) for a, b in met)
+
+
 def test_global_ranks_have_no_single_partition_sort(spark):
     df = spark.range(2000).select((F.col("id") % 700).cast("double").alias("v"))
     got = {r.v: r["rank"] for r in metrics.rank_average(df, "v").collect()}
