@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import discard, stored
+from rankloom.llm.common import discard, giving_back, stored
 
 #: Each round at least halves what is left of the longest chain, in practice; the loop ends by itself.
 MOST_ROUNDS = 60
@@ -53,7 +53,7 @@ def _contracted(edges: DataFrame) -> DataFrame:
         if chunk:
             yield united(chunk)
 
-    return edges.mapInArrow(run, "a long, b long").distinct()
+    return edges.mapInArrow(giving_back(run), "a long, b long").distinct()
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:

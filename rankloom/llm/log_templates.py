@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm import kernels as K
-from rankloom.llm.common import discard, pieces, small_batches, stored, text_column
+from rankloom.llm.common import discard, giving_back, pieces, small_batches, stored, text_column
 from rankloom.llm.near_dup import near_duplicates
 
 
@@ -187,7 +187,7 @@ def _templates(docs: DataFrame, lines: DataFrame, text: str, tree: Tree) -> Data
                     [ids.slice(a, b - a).take(pa.array(of[keep])), pa.array(number[keep], pa.int32()), pa.array([hashes[first[i] : last[i]].tobytes() for i in keep], pa.binary())], names=["text_id", "line", "tokens"]
                 )
 
-    found = chosen.join(read.mapInArrow(tokens, "text_id long, line int, tokens binary"), ["text_id", "line"]).dropDuplicates(["leaf", "seq"])
+    found = chosen.join(read.mapInArrow(giving_back(tokens), "text_id long, line int, tokens binary"), ["text_id", "line"]).dropDuplicates(["leaf", "seq"])
     rows = found.withColumn("task", F.pmod(F.xxhash64("leaf"), F.lit(max(1, total // PART))))
     grown = stored(_grown(rows.select("task", "leaf", "docs", "seq", "tokens"), "task", tree), "line-templates")
     discard(distinct, several, chosen)
@@ -208,7 +208,7 @@ def recurring(docs: DataFrame, text: str = "text", tree: Tree | None = None) ->
                     [ids.slice(a, b - a).take(pa.array(m["text"])), pa.array(m["line"], pa.int32()), *(pa.array(m[c], pa.int64()) for c in ("leaf", "seq"))], names=["text_id", "line", "leaf", "seq"]
                 )
 
-    scanned = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).mapInArrow(paths, "text_id long, line int, leaf long, seq long")
+    scanned = docs.select(F.xxhash64(text).alias("text_id"), F.col(text).alias("text")).mapInArrow(giving_back(paths), "text_id long, line int, leaf long, seq long")
     every = stored(scanned.dropDuplicates(["text_id", "line"]), "lines")
     shared = _often(every, "leaf", "text_id", tree)
     lines = stored(every.join(_few(shared), "leaf", "left_semi"), "line-shared")

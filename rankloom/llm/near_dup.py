@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm import kernels as K
-from rankloom.llm.common import discard, few, pieces, small_batches, stored, text_column
+from rankloom.llm.common import discard, few, giving_back, pieces, small_batches, stored, text_column
 from rankloom.llm.components import components
 
 
@@ -101,7 +101,7 @@ def signatures(docs: DataFrame, key: str, text: str, s: Settings) -> DataFrame:
             for a, b in pieces(texts, K.BLOCK):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *block(texts.slice(a, b - a))], names=["doc_id", "n_shingles", "set_key", "halves"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, _SIGNATURE)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(giving_back(run), _SIGNATURE)
 
 
 def _shared(slots: DataFrame, name: str) -> DataFrame:
@@ -145,7 +145,7 @@ def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, s: Settings) ->
                 keys = [int(K.mix(np.add.reduce(K.mix(g ^ np.uint64(s.seed)), keepdims=True) + np.uint64(len(g))).view(np.int64)[0]) for g in sets]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([g.tobytes() for g in sets], pa.binary())], names=["set_key", "grams"])
 
-    return chosen.mapInArrow(run, "set_key long, grams binary").dropDuplicates(["set_key"])
+    return chosen.mapInArrow(giving_back(run), "set_key long, grams binary").dropDuplicates(["set_key"])
 
 
 def _confirm(docs: DataFrame, pairs: DataFrame, key: str, text: str, s: Settings) -> DataFrame:
@@ -167,7 +167,7 @@ def _confirm(docs: DataFrame, pairs: DataFrame, key: str, text: str, s: Settings
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], names=["a", "b"])
 
-    links = stored(both.mapInArrow(run, "a long, b long"), "near-links")
+    links = stored(both.mapInArrow(giving_back(run), "a long, b long"), "near-links")
     discard(pairs, ids, sets)
     return links
 

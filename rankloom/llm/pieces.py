@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankloom.llm.common import pieces, small_batches, text_column, uncollected
+from rankloom.llm.common import giving_back, pieces, small_batches, text_column, uncollected
 
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
@@ -168,7 +168,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
         finally:
             encoder(model).forget()
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(giving_back(run), schema)
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -183,7 +183,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", decoded: str = "dec
             made = pa.array([sp.decode(x) if x else "" for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, decoded])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(giving_back(run), schema)
 
 
 def digests(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -203,4 +203,4 @@ def digests(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text"
         finally:
             encoder(model).forget()
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
+    return docs.select(F.col(key), F.col(text)).mapInArrow(giving_back(run), schema)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankloom.llm import kernels as K
-from rankloom.llm.common import pieces, small_batches, text_column
+from rankloom.llm.common import giving_back, pieces, small_batches, text_column
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -117,4 +117,4 @@ def quality(docs: DataFrame, text: str = "text", rules: Rules | None = None) ->
                 made = [pa.array(m[c], pa.int64()) for c in names] + [pa.array(m[c], pa.bool_()) for c in ("base_failed", "kept")]
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *added])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(giving_back(run), schema)
