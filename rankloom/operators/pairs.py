@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankloom.functions import ids
 from rankloom.functions import messages as M
@@ -138,6 +139,13 @@ def first_groups(rows: DataFrame, group: str, n: int) -> DataFrame:
     return rows.join(rows.select(group).distinct().orderBy(group).limit(n), group, "left_semi")
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """rows with a prompt_hash of lower-case hex digits as bytes in `_hash_bytes`, half as much to shuffle; any other stays as it is."""
+    made = F.unhex("prompt_hash")
+    made = F.when(F.lower(F.hex(made)) == F.col("prompt_hash"), made)
+    return rows.withColumn("_hash_bytes", made).withColumn("prompt_hash", F.when(F.col("_hash_bytes").isNull(), F.col("prompt_hash")))
+
+
 def build_pairs(rows: DataFrame, options: PairOptions | None = None, columns: tuple[str, ...] | None = None, at_rest: bool = False) -> DataFrame:
     """Pair rows of scored candidates, with what belongs to the prompt from its best candidate.
 
@@ -149,7 +157,10 @@ def build_pairs(rows: DataFrame, options: PairOptions | None = None, columns: tu
     require(rows, CANDIDATE_COLUMNS)
     if o.max_groups is not None:
         rows = first_groups(rows, "global_prompt_index", o.max_groups)
-    left = ranked(rows, dedupe="response_hash" if o.dedupe else None, drop_empty=o.drop_empty, min_candidates=o.min_candidates)
+    packed = isinstance(rows.schema["prompt_hash"].dataType, T.StringType)
+    left = ranked(_packed(rows) if packed else rows, dedupe="response_hash" if o.dedupe else None, drop_empty=o.drop_empty, min_candidates=o.min_candidates)
+    if packed:
+        left = left.withColumn("prompt_hash", F.coalesce(F.lower(F.hex("_hash_bytes")), "prompt_hash")).drop("_hash_bytes")
     prompt = tuple(c for c in PROMPT_COLUMNS if c in rows.columns)
     keep = {c: F.col(c) for c in ("messages", "prompt_hash", "teacher_model", "num_candidates_raw", "num_candidates_after_filter", *prompt)} | {"split": ids.split_by_fraction(F.col("prompt_hash"), o.val_ratio, o.seed)}
     carry = {"response": ("chosen", "rejected")} | {c: (f"chosen_{c}", f"rejected_{c}") for c in _SIDE if c not in ("sample_id", "teacher_score")}

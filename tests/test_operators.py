@@ -267,3 +267,12 @@ def test_positions_follow_the_seeded_order(spark):
     by = {r.id: r.by for r in df.collect()}
     assert {k: [v[i] for i in range(len(v))] for k, v in grouped.items()} == {k: [i for i in order if by[i] == k] for k in (None, "b", "hot")}
     assert pool.positions(df.limit(0), 5, "id").count() == 0
+
+
+def test_prompt_hashes_are_shuffled_as_bytes(spark, sf_dir):
+    plan = plans.queries()["pairs_ties"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "_hash_bytes" in plan[plan.index("Exchange ") :]
+    hashes = ["0aff", "0AFF", "abc", "x1", "", " 0a", None, "é"]
+    rows = spark.createDataFrame([(i, h) for i, h in enumerate(hashes)], "i int, prompt_hash string")
+    held = pairs._packed(rows).orderBy("i").collect()
+    assert [(x.prompt_hash, x["_hash_bytes"]) for x in held] == [(None, b"\x0a\xff"), *((h, None) for h in hashes[1:4]), (None, b""), (" 0a", None), (None, None), ("é", None)]
