@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.llm import kernels as K
-from rankloom.llm.common import pieces, small_batches, stored, text_column
+from rankloom.llm.common import giving_back, pieces, small_batches, stored, text_column
 
 ORDER = 5
 #: Words, and runs, that are scored where the text is read; all others are joined.
@@ -88,10 +88,17 @@ class Gathered:
         self.size += len(cut)
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([k for k, _ in self.parts])
-        counts = np.concatenate([c for _, c in self.parts])
+        # One array after the other, and what it is made of let go: a worker's peak is here.
+        all_keys, all_counts = (list(x) for x in zip(*self.parts, strict=True))
+        self.parts = []
+        keys = np.concatenate(all_keys)
+        del all_keys
+        counts = np.concatenate(all_counts)
+        del all_counts
         order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
+        keys = keys[order]
+        counts = counts[order]
+        del order
         cut = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
         counts = np.add.reduceat(counts, cut) if len(cut) else counts[:0]
         self.parts, self.size = [(keys[cut], counts)], len(cut)
@@ -127,7 +134,8 @@ def counts(docs: DataFrame, text: str = "text", order: int = ORDER) -> DataFrame
         for kind in held:
             yield from handed(kind)
 
-    return docs.select(text).mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    # Tasks have added up their own keys, so before the exchange an aggregate would only hold them once more, in the JVM.
+    return docs.select(text).mapInArrow(giving_back(run), "kind int, key long, n long").repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 class Table:
@@ -393,7 +401,7 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int
     schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, kind int, key long, times long"
     small_batches(spark)
     read = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out")
-    passed = stored(read.mapInArrow(run, schema), "ppm-scores")
+    passed = stored(read.mapInArrow(giving_back(run), schema), "ppm-scores")
     seldom = passed.where(F.col("kind") == WORD_KIND).select("row", F.col("key").alias("word"), "times").join(words.where(F.col("n") < least), "word", "left")
     log = F.log10((F.coalesce("n", F.lit(0)) + F.lit(0.1)) / F.lit(norm))
     of_words = seldom.select("row", F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("known"), (F.col("times") * log).alias("base"), F.lit(0.0).alias("score"))

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -135,6 +136,32 @@ def test_gathering_in_parts(spark, monkeypatch):
     assert keys.tolist() == [1, 2, 9] and n.tolist() == [1, 3, 1]
 
 
+def test_merging_holds_few_copies_of_the_keys():
+    g, random = ppm.Gathered(), np.random.default_rng(1)
+    parts = [random.integers(0, 1 << 19, 50_000, dtype=np.uint64) for _ in range(20)]
+    tracemalloc.start()
+    try:
+        for part in parts:
+            g.add(part)
+        size = g.size
+        tracemalloc.reset_peak()
+        keys, n = g.merged()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # 16 bytes a key, and twice that while they are sorted.
+    assert peak < 40 * size
+    want = np.unique(np.concatenate(parts), return_counts=True)
+    assert (keys == want[0]).all() and (n == want[1]).all()
+
+
+def test_counts_are_added_up_behind_the_exchange(spark):
+    plan = ppm.counts(spark.createDataFrame([("a b",)], "text string"))._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange", 1)
+    assert "Aggregate" in above and "MapInArrow" in below
+    assert "Aggregate" not in below and "Exchange" not in below
+
+
 def test_query_predicts_held_out_text(spark, sf_dir):
     got = queries.op3_byte_ppm(spark, sf_dir).collect()
     assert len(got) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
